@@ -182,7 +182,7 @@ GUESS = f"case when (l_orderkey + l_linenumber) % 5 = 0 then cast(l_suppkey % 7
 def predictions(spark: SparkSession, folder: str) -> DataFrame:
     """``lineitem`` as scored rows: truth, guess and the seven class scores."""
     scores = ", ".join(
-        f"cast(((l_orderkey * 7 + l_suppkey * {k + 3}) % 100) / 100.0 + case when ({TRUTH}) = {k} then 0.35 else 0.0 end as double)"
+        f"cast(((l_orderkey * 7 + l_suppkey * {k + 3}) % 100 + case when ({TRUTH}) = {k} then 35 else 0 end) / 100.0 as double)"
         for k in range(7)
     )
     return table(spark, folder, "lineitem").selectExpr(
@@ -191,7 +191,7 @@ def predictions(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def score_sql(k: int) -> str:
-    return f"CAST(((l_orderkey * 7 + l_suppkey * {k + 3}) % 100) / 100.0 + CASE WHEN ({TRUTH}) = {k} THEN 0.35 ELSE 0.0 END AS DOUBLE)"
+    return f"CAST(((l_orderkey * 7 + l_suppkey * {k + 3}) % 100 + CASE WHEN ({TRUTH}) = {k} THEN 35 ELSE 0 END) / 100.0 AS DOUBLE)"
 
 
 PREDICTIONS_SQL = (
