@@ -3,9 +3,9 @@
 
 def registered() -> dict:
     """name -> (callable(spark, folder), SQL text or None)."""
-    from . import evaluation_queries, flow_queries, response_queries, table_queries
+    from . import alert_queries, evaluation_queries, flow_queries, response_queries, table_queries
 
     found = {}
-    for part in (flow_queries, table_queries, response_queries, evaluation_queries):
+    for part in (flow_queries, table_queries, alert_queries, response_queries, evaluation_queries):
         found.update(part.QUERIES)
     return found
