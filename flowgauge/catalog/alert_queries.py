@@ -33,13 +33,13 @@ def severities(spark, folder):
 
 def top(spark, folder):
     df = views.scored_flows(spark, folder)
-    found = alerts.top_features(df, scaling.fit_scaler(df, FEATURES), places=8)
+    found = alerts.top_features(df, scaling.fit_scaler(df, FEATURES), places=11)
     parts = [F.col("top_features")[i][k].alias(f"{k}_{i + 1}") for i in range(3) for k in ("feature", "value")]
     return found.select(*views.ROW_KEYS, *parts)
 
 
 TOP_SQL = f"""WITH {SCORED}, st AS (SELECT {', '.join(f'avg("{c}") AS m{i}, stddev_pop("{c}") AS s{i}' for i, c in enumerate(FEATURES))} FROM sc),
-z AS (SELECT {KEYS}, list_sort([{', '.join(f'''struct_pack(r := -abs(greatest(-5, least(5, ("{c}" - m{i}) / s{i}))), i := {i}, f := '{c}', v := round("{c}", 8))''' for i, c in enumerate(FEATURES))}]) AS l FROM sc, st)
+z AS (SELECT {KEYS}, list_sort([{', '.join(f'''struct_pack(r := -abs(greatest(-5, least(5, ("{c}" - m{i}) / s{i}))), i := {i}, f := '{c}', v := round("{c}", 11))''' for i, c in enumerate(FEATURES))}]) AS l FROM sc, st)
 SELECT {KEYS}, {', '.join(f'l[{k}].f AS feature_{k}, l[{k}].v AS value_{k}' for k in (1, 2, 3))} FROM z"""
 
 
