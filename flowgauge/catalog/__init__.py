@@ -3,9 +3,13 @@
 
 def registered() -> dict:
     """name -> (callable(spark, folder), SQL text or None)."""
-    from . import alert_queries, evaluation_queries, flow_queries, response_queries, table_queries
+    from . import (
+        alert_queries, evaluation_queries, flow_queries, model_queries, response_queries, source_queries, stream_queries,
+        table_queries,
+    )
 
     found = {}
-    for part in (flow_queries, table_queries, alert_queries, response_queries, evaluation_queries):
+    for part in (flow_queries, source_queries, table_queries, alert_queries, response_queries, evaluation_queries,
+                 stream_queries, model_queries):
         found.update(part.QUERIES)
     return found

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 1_000_000
+_LOCAL: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -18,11 +19,12 @@ def shared_folder(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="flowgauge-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if context.applicationId not in _LOCAL:
+        _LOCAL[context.applicationId] = tempfile.mkdtemp(prefix="flowgauge-")
+    return _LOCAL[context.applicationId]
 
 
 def written(df: DataFrame) -> DataFrame:
