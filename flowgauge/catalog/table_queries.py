@@ -122,7 +122,7 @@ def scaler_fit(spark, folder):
 def scaled_rows(spark, folder):
     df = lab(spark, folder)
     scaled = scaling.scale_clip(df, scaling.fit_scaler(df, FEATURES))
-    return scaled.select(*views.ROW_KEYS, *[F.round(F.col(f"`{f}`"), 6).alias(f) for f in FEATURES])
+    return scaled.select(*views.ROW_KEYS, *[(F.floor(F.col(f"`{f}`") * 1e6 + 0.5) / 1e6).alias(f) for f in FEATURES])
 
 
 def distribution(spark, folder):
@@ -239,7 +239,7 @@ QUERIES = {
     "fit_scaler": (scaler_fit, f"WITH {LAB} " + per_feature(FEATURES, "lab", "round(avg(?), 3) AS mean", "round(CASE WHEN stddev_pop(?) > 0 THEN stddev_pop(?) ELSE 1 END, 3) AS std")),
     "scale_clip": (scaled_rows, f"WITH {LAB}, s AS (SELECT " + ", ".join(
         f'avg("{c}") AS m{i}, stddev_pop("{c}") AS s{i}' for i, c in enumerate(FEATURES)) + f" FROM lab) SELECT {KEYS}, " + ", ".join(
-        f'round(greatest(-5, least(5, ("{c}" - m{i}) / s{i})), 6) AS "{c}"' for i, c in enumerate(FEATURES)) + " FROM lab, s"),
+        f'floor(greatest(-5, least(5, ("{c}" - m{i}) / s{i})) * 1e6::DOUBLE + 0.5::DOUBLE) / 1e6::DOUBLE AS "{c}"' for i, c in enumerate(FEATURES)) + " FROM lab, s"),
     "class_distribution": (distribution, f"""SELECT label, CASE label {' '.join(f"WHEN {v} THEN '{k}'" for k, v in CLASS_IDS.items())} ELSE 'UNKNOWN(' || label || ')' END AS name, "count"
        FROM (SELECT y + (l_partkey % 3) AS label, count(*) AS "count" FROM ({views.PREDICTIONS_SQL}) GROUP BY 1)"""),
     "class_weights": (weights, f"""WITH {LAB}, c AS (SELECT "Attack Type" AS label, count(*) AS n FROM lab GROUP BY 1)

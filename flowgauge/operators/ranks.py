@@ -8,6 +8,8 @@ only the value column; what moves is one row per bucket.
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,7 +18,7 @@ from ..storage import fits
 
 BUCKETS = 1024
 CANDIDATES = 100_000
-DIRECT_ROWS = 5_000_000
+DIRECT_CELLS = 20_000_000
 GROUPS = 100_000
 
 
@@ -85,22 +87,34 @@ def without_nan(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.withColumns({c: F.when(~F.isnan(F.col(c)), F.col(c)) for c in columns if c in floats})
 
 
+def _quantiles_at_once(slim: DataFrame, groups: list[str], columns: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """One Arrow group per class; only for tables of a checked size."""
+    numbered = slim.select(*groups, *[F.col(f"`{c}`").cast("double").alias(f"_{i}") for i, c in enumerate(columns)])
+    kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in numbered.select(*groups).schema.fields]
+
+    def one(frame: pd.DataFrame) -> pd.DataFrame:
+        rows = []
+        for i in range(len(columns)):
+            values = frame[f"_{i}"].to_numpy()
+            values = values[~np.isnan(values)]
+            rows.append((*[frame[g].iloc[0] for g in groups], i, np.quantile(values, probs) if len(values) else None))
+        return pd.DataFrame(rows, columns=[*groups, "_i", "q"])
+
+    found = numbered.groupBy(*groups).applyInPandas(one, ", ".join([*kinds, "_i int", "q array<double>"]))
+    names = F.array(*[F.lit(c) for c in columns])
+    return found.select(*groups, F.element_at(names, F.col("_i") + 1).alias("feature"), "q")
+
+
 def exact_quantiles(df: DataFrame, groups: list[str], columns: Sequence[str], probs: Sequence[float],
-                    direct_rows: int = DIRECT_ROWS, candidates: int = CANDIDATES) -> DataFrame:
+                    direct_cells: int = DIRECT_CELLS, candidates: int = CANDIDATES) -> DataFrame:
     """(groups, feature, q): exact quantiles with linear interpolation, missing values skipped.
 
-    Up to ``direct_rows`` rows the built-in aggregate does it in one pass. It
-    keeps every distinct value of a group in one task, so larger inputs go
-    through ``select_ranks``.
+    Tables of up to ``direct_cells`` cells are taken in one pass, a group per
+    task. Larger ones go through ``select_ranks``, which never holds a group.
     """
     slim = without_nan(df.select(*groups, *columns), columns)
-    if fits(slim, direct_rows):
-        at = F.array(*[F.lit(float(p)) for p in probs])
-        wide = slim.groupBy(*groups).agg(
-            *[F.percentile(F.col(f"`{c}`").cast("double"), at).alias(f"_{i}") for i, c in enumerate(columns)]
-        )
-        pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"_{i}").alias("q")) for i, c in enumerate(columns)])
-        return wide.select(*groups, F.explode(pairs).alias("r")).select(*groups, "r.feature", "r.q")
+    if fits(slim, direct_cells // len(columns)):
+        return _quantiles_at_once(slim, groups, columns, probs)
     pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"`{c}`").cast("double").alias("value")) for c in columns])
     tall = slim.select(*groups, F.explode(pairs).alias("r")).select(*groups, "r.feature", "r.value").filter("value IS NOT NULL")
     keys = [*groups, "feature"]

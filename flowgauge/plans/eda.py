@@ -1,7 +1,9 @@
 """Profiles of a labelled flow table."""
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -136,37 +138,41 @@ def scaled_medians(df: DataFrame, columns: list[str] = MEDIAN_FEATURES, label: s
     return class_medians(df, columns, label).withColumn("scaled", (F.col("median") - lo) / (hi - lo + F.lit(1e-9)))
 
 
-def _pairwise(tidy: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
-    row = tidy.agg(F.array(*[
-        F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), F.corr(quoted(a), quoted(b)).alias("r"))
-        for a, b in pairs
-    ]).alias("rows"))
-    return row.select(F.explode("rows").alias("r")).select("r.*")
-
-
 def correlations(df: DataFrame, columns: list[str] = FEATURES) -> DataFrame:
     """(feature_a, feature_b, r) for every ordered pair; a pair skips rows where either is missing.
 
-    Complete tables take one pass over assembled vectors. Where cells are
-    missing each pair has rows of its own, and pairs are taken a few per pass.
+    Each task sums the products of its Arrow batches and sends on one row per
+    pair. Values are taken relative to their mean, so sums keep their digits.
     """
     tidy = without_nan(df.select(*[quoted(c) for c in columns]), columns)
-    holes = tidy.agg(F.sum(sum(quoted(c).isNull().cast("int") for c in columns)).alias("n")).first()["n"]
-    if not holes:
-        numbered = tidy.toDF(*[f"c{i}" for i in range(len(columns))])
-        vectors = VectorAssembler(inputCols=numbered.columns, outputCol="v").transform(numbered).select("v")
-        matrix = Correlation.corr(vectors, "v").first()[0].toArray()
-        cells = [(a, b, None if matrix[i, j] != matrix[i, j] else float(matrix[i, j]))
-                 for i, a in enumerate(columns) for j, b in enumerate(columns)]
-        return df.sparkSession.createDataFrame(cells, "feature_a string, feature_b string, r double")
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[: i + 1]]
-    lower = None
-    for i in range(0, len(pairs), 30):
-        part = _pairwise(tidy, pairs[i: i + 30])
-        lower = part if lower is None else lower.unionByName(part)
-    own = F.array(F.struct("feature_a", "feature_b", "r"))
-    both = F.array(F.struct("feature_a", "feature_b", "r"), F.struct(F.col("feature_b").alias("feature_a"), F.col("feature_a").alias("feature_b"), "r"))
-    return lower.select(F.explode(F.when(F.col("feature_a") == F.col("feature_b"), own).otherwise(both)).alias("p")).select("p.*")
+    means = tidy.agg(*[F.avg(quoted(c)).alias(f"m{i}") for i, c in enumerate(columns)]).first()
+    moved = tidy.select(*[(quoted(c) - F.lit(means[i] or 0.0)).alias(f"c{i}") for i, c in enumerate(columns)])
+    width = len(columns)
+    upper = np.triu_indices(width)
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((6, width, width))
+        for batch in batches:
+            x = np.column_stack([c.cast(pa.float64()).to_numpy(zero_copy_only=False) for c in batch.columns])
+            here = ~np.isnan(x)
+            x, here = np.where(here, x, 0.0), here.astype(float)
+            total += np.stack([here.T @ here, x.T @ here, here.T @ x, (x * x).T @ here, here.T @ (x * x), x.T @ x])
+        cells = [pa.array(upper[0], pa.int32()), pa.array(upper[1], pa.int32())]
+        yield pa.RecordBatch.from_arrays(cells + [pa.array(t[upper]) for t in total], names=["a", "b", *parts])
+
+    parts = ["n", "sa", "sb", "saa", "sbb", "sab"]
+    summed = moved.mapInArrow(sums, "a int, b int, " + ", ".join(f"{p} double" for p in parts))
+    summed = summed.groupBy("a", "b").agg(*[F.sum(p).alias(p) for p in parts])
+    spread = F.sqrt((F.col("saa") - F.col("sa") * F.col("sa") / F.col("n")) * (F.col("sbb") - F.col("sb") * F.col("sb") / F.col("n")))
+    r = F.when((F.col("n") > 1) & (spread > 0), (F.col("sab") - F.col("sa") * F.col("sb") / F.col("n")) / spread)
+    found = summed.filter("n > 0").select("a", "b", r.alias("r"))
+    names = F.array(*[F.lit(c) for c in columns])
+
+    def row(x, y):
+        return F.struct(F.element_at(names, F.col(x) + 1).alias("feature_a"), F.element_at(names, F.col(y) + 1).alias("feature_b"), "r")
+
+    both = F.when(F.col("a") == F.col("b"), F.array(row("a", "b"))).otherwise(F.array(row("a", "b"), row("b", "a")))
+    return found.select(F.explode(both).alias("p")).select("p.*")
 
 
 def high_correlations(df: DataFrame, columns: list[str] = FEATURES, threshold: float = 0.90) -> DataFrame:

@@ -53,7 +53,7 @@ FROM events
 ATTACK_OF_EVENT = """case when event_id % 29 = 0 then 'Unknown / Anomaly' when event_id % 17 = 0 then 'Bots'
   when event_type = 'signup' then 'Port Scanning' when event_type = 'purchase' then 'DDoS'
   when event_type = 'error' then 'Brute Force' when event_type = 'view' then 'Web Attacks' else 'DoS' end"""
-CONFIDENCE_OF_EVENT = "case when event_id % 29 = 0 then 0.0 else (70 + event_id % 30) / 100.0 end"
+CONFIDENCE_OF_EVENT = "case when event_id % 29 = 0 then cast(0 as double) else cast(70 + event_id % 30 as double) / cast(100 as double) end"
 SEVERITY_OF_EVENT = "case when event_id % 29 = 0 then 'LOW' when event_id % 30 >= 20 then 'HIGH' else 'MEDIUM' end"
 
 
@@ -182,7 +182,7 @@ GUESS = f"case when (l_orderkey + l_linenumber) % 5 = 0 then cast(l_suppkey % 7
 def predictions(spark: SparkSession, folder: str) -> DataFrame:
     """``lineitem`` as scored rows: truth, guess and the seven class scores."""
     scores = ", ".join(
-        f"cast(((l_orderkey * 7 + l_suppkey * {k + 3}) % 100 + case when ({TRUTH}) = {k} then 35 else 0 end) / 100.0 as double)"
+        f"cast(((l_orderkey * 7 + l_suppkey * {k + 3}) % 100 + case when ({TRUTH}) = {k} then 35 else 0 end) as double) / cast(100 as double)"
         for k in range(7)
     )
     return table(spark, folder, "lineitem").selectExpr(
@@ -191,7 +191,7 @@ def predictions(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def score_sql(k: int) -> str:
-    return f"CAST(((l_orderkey * 7 + l_suppkey * {k + 3}) % 100 + CASE WHEN ({TRUTH}) = {k} THEN 35 ELSE 0 END) / 100.0 AS DOUBLE)"
+    return f"CAST(((l_orderkey * 7 + l_suppkey * {k + 3}) % 100 + CASE WHEN ({TRUTH}) = {k} THEN 35 ELSE 0 END) AS DOUBLE) / CAST(100 AS DOUBLE)"
 
 
 PREDICTIONS_SQL = (
@@ -199,9 +199,9 @@ PREDICTIONS_SQL = (
     f"[{', '.join(score_sql(k) for k in range(7))}] AS scores FROM lineitem"
 )
 
-CONFIDENCE = "(40 + (l_orderkey * 7 + l_linenumber * 13) % 61) / 100.0"
+CONFIDENCE = "cast(40 + (l_orderkey * 7 + l_linenumber * 13) % 61 as double) / cast(100 as double)"
 PREDICTED = "cast(case when l_partkey % 3 = 0 then 0 else l_partkey % 8 end as int)"
-ANOMALY_SCORE = "(l_suppkey % 41 - 20) / 100.0"
+ANOMALY_SCORE = "cast(l_suppkey % 41 - 20 as double) / cast(100 as double)"
 
 
 def scored_flows(spark: SparkSession, folder: str) -> DataFrame:

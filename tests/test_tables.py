@@ -47,7 +47,7 @@ def numbers(spark):
 def test_quantiles_by_counting_equal_direct(numbers):
     probs = [0.0, 0.01, 0.25, 0.5, 0.9, 1.0]
     direct = {(r.g, r.feature): list(r.q) for r in ranks.exact_quantiles(numbers, ["g"], ["v", "w"], probs).collect()}
-    counted = ranks.exact_quantiles(numbers, ["g"], ["v", "w"], probs, direct_rows=0, candidates=5)
+    counted = ranks.exact_quantiles(numbers, ["g"], ["v", "w"], probs, direct_cells=0, candidates=5)
     for r in counted.collect():
         assert np.allclose(direct[(r.g, r.feature)], r.q)
     frame = numbers.toPandas()
@@ -56,7 +56,7 @@ def test_quantiles_by_counting_equal_direct(numbers):
 
 def test_quantiles_with_one_dominant_value(spark):
     df = spark.createDataFrame([(1.0,)] * 500 + [(float(i),) for i in range(400)], "v double")
-    got = ranks.exact_quantiles(df, [], ["v"], [0.5, 0.75], direct_rows=0, candidates=3).first().q
+    got = ranks.exact_quantiles(df, [], ["v"], [0.5, 0.75], direct_cells=0, candidates=3).first().q
     assert got == ranks.exact_quantiles(df, [], ["v"], [0.5, 0.75]).first().q
 
 
