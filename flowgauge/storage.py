@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 1_000_000
+HOT_ROWS = 5_000_000
 _LOCAL: dict[str, str] = {}
 
 
@@ -41,19 +42,31 @@ def fits(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
 
 
 def lookup(big: DataFrame, small: DataFrame, on: list[str], how: str = "left",
-           rows: int = BROADCAST_ROWS, salts: int = 64) -> DataFrame:
+           rows: int = BROADCAST_ROWS, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Join ``big`` to a table with unique ``on`` keys without hot-key tasks.
 
-    A small side under the row bound is broadcast. A larger one is repeated
-    once per salt, so a key that dominates ``big`` spreads over ``salts`` tasks.
-    The salt is a hash of the row, so a task that runs again repeats it.
+    A small side under the row bound is broadcast. For a larger one, keys with
+    more than ``hot_rows`` rows in ``big`` are counted out first; there can be
+    only few of them, so their entries are broadcast and their rows stay where
+    they are. The other keys are joined by a shuffle.
     """
     if fits(small, rows):
         return big.join(F.broadcast(small), on, how)
-    plain = [c for c, kind in big.dtypes if "map<" not in kind]
-    salted = big.withColumn("_salt", F.pmod(F.xxhash64(*plain), F.lit(salts)).cast("int"))
-    copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(copies, [*on, "_salt"], how).drop("_salt")
+    if big.isStreaming:
+        return big.join(small, on, how)
+    heavy = written(big.groupBy(*on).count().filter(F.col("count") > hot_rows).select(*on))
+    if not fits(heavy, rows):
+        raise ValueError("too many hot keys to broadcast; raise hot_rows")
+    marked = big.join(F.broadcast(heavy.withColumn("_hot", F.lit(True))), on, "left")
+    # A missing key matches nothing: it goes the way that does not shuffle.
+    stays = F.coalesce("_hot", F.lit(False))
+    for key in on:
+        stays = stays | F.col(key).isNull()
+    marked = marked.withColumn("_hot", stays)
+    few = small.join(F.broadcast(heavy), on, "left_semi")
+    hot = marked.filter("_hot").drop("_hot").join(F.broadcast(few), on, how)
+    rest = marked.filter("NOT _hot").drop("_hot").join(small, on, how)
+    return hot.unionByName(rest)
 
 
 def literal_map(values: dict) -> Column:
