@@ -39,6 +39,12 @@ def compare(spark, folder):
     return rounded(found, "accuracy", "macro_f1", "weighted_f1", "fpr_benign")
 
 
+def roc(spark, folder):
+    found = evaluate.roc_points(pred(spark, folder))
+    score = F.when(F.col("score") < float("inf"), F.round("score", 8)).otherwise(F.col("score"))
+    return rounded(found.withColumn("score", score), "fpr", "tpr")
+
+
 def metrics_sql(name: str, guess: str) -> str:
     body = REPORT.replace(PRED, f"pr AS (SELECT * REPLACE ({guess} AS p) FROM ({views.PREDICTIONS_SQL}))")
     return f"(WITH {body} SELECT '{name}' AS model, {METRICS_ROW} FROM met)"
@@ -58,8 +64,9 @@ QUERIES = {
     "confusion_normalized": (lambda s, f: rounded(evaluate.confusion(pred(s, f), normalize=True), "value"), f"""WITH {PRED}, l AS (SELECT DISTINCT y AS class FROM pr),
        g AS (SELECT a.class AS y, {NAME.replace('class', 'a.class')} AS name, b.class AS p, (SELECT count(*) FROM pr WHERE pr.y = a.class AND pr.p = b.class) AS n FROM l a, l b)
        SELECT y, name, p, round(n / greatest(sum(n) OVER (PARTITION BY y), 1), 8) AS value FROM g"""),
-    "roc_points": (lambda s, f: rounded(evaluate.roc_points(pred(s, f)), "fpr", "tpr", "score"),
-                   f"WITH {CELLS} SELECT class, round(score, 8) AS score, round(un / an, 8) AS fpr, round(up / ap, 8) AS tpr FROM ru"),
+    "roc_points": (roc,
+                   f"WITH {CELLS} SELECT class, round(score, 8) AS score, round(un / an, 8) AS fpr, round(up / ap, 8) AS tpr FROM ru "
+                   "UNION ALL SELECT DISTINCT class, CAST('Infinity' AS DOUBLE), 0.0, 0.0 FROM ru"),
     "auc_per_class": (lambda s, f: rounded(evaluate.auc_per_class(pred(s, f)), "auc"), f"WITH {CELLS} SELECT class, {NAME} AS name, round(auc, 8) AS auc FROM auc"),
     "mean_auc": (lambda s, f: rounded(evaluate.mean_auc(pred(s, f)), "mean_auc"), f"WITH {CELLS} SELECT round(avg(auc), 8) AS mean_auc FROM auc"),
     "compare_models": (compare, metrics_sql("first", "p") + " UNION ALL " + metrics_sql("second", "CASE WHEN l_linenumber % 4 = 0 THEN 0 ELSE y END")),

@@ -116,6 +116,12 @@ def detect(spark, folder):
                          F.to_json("shap_contributions").alias("contributions"))
 
 
+def throughput(spark, folder):
+    """Rows scored, as timed; the times themselves differ from run to run."""
+    scored, _, _ = classified(spark, folder)
+    return evaluate.score_throughput(scored).select("rows", (F.col("seconds") > 0).alias("timed"))
+
+
 def pca(spark, folder):
     points, shares = models.pca2(views.embedding_flows(spark, folder), keep=["vec_id", "label"])
     return points.withColumns({"share_1": F.lit(shares[0]), "share_2": F.lit(shares[1])})
@@ -175,6 +181,7 @@ QUERIES = {
     "explain": (explained, None),
     "explain_first": (explained_first, None),
     "detect": (detect, None),
+    "score_throughput": (throughput, 'SELECT count(*) AS "rows", true AS timed FROM embeddings'),
     "pca": (pca, None),
     "pca_spread": (pca_spread, "SELECT count(*) AS n, true AS first_fits, true AS second_fits FROM embeddings"),
     "smote": (smote, f"""WITH {COUNTS}, t AS (SELECT max(n) AS top FROM c) SELECT label, false AS synthetic, n FROM c

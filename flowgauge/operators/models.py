@@ -1,6 +1,7 @@
 """Classifiers: forest, boosted trees, perceptron, grid search, importance, projection."""
 
 import itertools
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Transformer
 from pyspark.ml.classification import (
@@ -90,14 +91,16 @@ class BoostedModel(Transformer):
         return BoostedModel({c: GBTClassificationModel.load(f"{path}/class_{c}") for c in ids})
 
 
-def train_boosted(df: DataFrame, **params) -> BoostedModel:
-    """Boosted trees, one class against the rest, each trained by the whole cluster."""
+def train_boosted(df: DataFrame, parallelism: int = 4, **params) -> BoostedModel:
+    """Boosted trees, one class against the rest, a few classes at a time."""
     classes = sorted(int(r[0]) for r in df.select("label").distinct().collect())
-    models = {}
-    for c in classes:
+
+    def one(c: int) -> GBTClassificationModel:
         binary = df.withColumn("label", (F.col("label") == c).cast("double"))
-        models[c] = GBTClassifier(**{**BOOSTED, **params}).fit(binary)
-    return BoostedModel(models)
+        return GBTClassifier(**{**BOOSTED, **params}).fit(binary)
+
+    with ThreadPoolExecutor(parallelism) as pool:
+        return BoostedModel(dict(zip(classes, pool.map(one, classes))))
 
 
 def train_mlp(df: DataFrame, hidden: list[int] = PERCEPTRON_LAYERS, iterations: int = PERCEPTRON_ITERATIONS,

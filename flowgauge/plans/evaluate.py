@@ -1,7 +1,9 @@
 """Classifier evaluation from a prediction table (y, p, scores)."""
 
+import time
+
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import class_name
@@ -115,13 +117,15 @@ def score_cells(pred: DataFrame) -> DataFrame:
 
 
 def roc_points(pred: DataFrame) -> DataFrame:
-    """(class, score, fpr, tpr): the one-vs-rest curve at every distinct score, without the (0, 0) start."""
+    """(class, score, fpr, tpr): the one-vs-rest curve from (0, 0), at score Infinity, through every distinct score."""
     cells = score_cells(pred)
     totals = cells.groupBy("class").agg(F.sum("pos").alias("all_pos"), F.sum("neg").alias("all_neg"))
     run = running_totals(cells, "class", "score", ["pos", "neg"])
     joined = run.join(F.broadcast(totals), "class")
-    return joined.select("class", "score", F.try_divide("upto_neg", "all_neg").alias("fpr"),
-                         F.try_divide("upto_pos", "all_pos").alias("tpr"))
+    points = joined.select("class", "score", F.try_divide("upto_neg", "all_neg").alias("fpr"),
+                           F.try_divide("upto_pos", "all_pos").alias("tpr"))
+    start = totals.select("class", F.lit(float("inf")).alias("score"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
+    return points.unionByName(start)
 
 
 def auc_per_class(pred: DataFrame) -> DataFrame:
@@ -147,6 +151,15 @@ def compare_models(predictions: dict[str, DataFrame]) -> DataFrame:
     return metrics(tagged, ["model"]).orderBy(F.col("macro_f1").desc(), "model")
 
 
+def score_throughput(scored: DataFrame) -> DataFrame:
+    """rows, seconds and milliseconds per row of a whole scoring job that writes nowhere."""
+    spark, seen = scored.sparkSession, Observation()
+    start = time.perf_counter()
+    scored.observe(seen, F.count(F.lit(1)).alias("rows")).write.format("noop").mode("overwrite").save()
+    seconds, rows = time.perf_counter() - start, seen.get["rows"]
+    return spark.createDataFrame([(rows, seconds, 1000 * seconds / rows if rows else 0.0)], "rows long, seconds double, ms_per_row double")
+
+
 def summary(pred: DataFrame) -> DataFrame:
     """One line: accuracy, F1 averages, benign false-positive rate, mean AUC."""
     return metrics(pred).crossJoin(mean_auc(pred))

@@ -10,6 +10,16 @@ def _path(spark: SparkSession, path: str):
     return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
 
 
+def open_file(path: str):
+    """A seekable file by URI, from any task."""
+    from pyarrow import fs
+
+    if path.startswith("file:/") and not path.startswith("file:///"):
+        path = path.replace("file:/", "file:///", 1)
+    system, name = fs.FileSystem.from_uri(path)
+    return system.open_input_file(name)
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """True when the path, or a match of the glob, is there."""
     found = _path(spark, path)

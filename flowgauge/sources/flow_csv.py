@@ -1,32 +1,48 @@
 """Flow tables from CSV folders."""
 
+import csv
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.cleaning import clean
 from ..schemas import LABEL, RAW_LABEL
-from .artifacts import CLEANED_FILE, exists
+from .artifacts import CLEANED_FILE, exists, open_file
 
 TEXT_COLUMNS = (LABEL, RAW_LABEL, "Flow ID", "Source IP", "Src IP", "Destination IP", "Dst IP", "Timestamp")
 DAYS = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday"]
 ORDER = ["_day", "_file", "_block", "_row"]
+HEADER_BYTES = 1 << 16
+
 
+def _headers(spark: SparkSession, path: str) -> list[tuple[str, list[str]]]:
+    """(file, column names) of every CSV file under a path, by file name.
 
-def _header(spark: SparkSession, path: str) -> list[str]:
-    """Column names of one file, trimmed; a repeated name gets a numeric suffix."""
-    first = spark.read.option("encoding", "ISO-8859-1").csv(path).first()
-    seen, names = {}, []
-    for name in ((c or "").strip() for c in first):
-        n = seen.get(name, 0)
-        seen[name] = n + 1
-        names.append(f"{name}.{n}" if n else name)
-    return names
+    One job reads the first line of each file. Names are trimmed, and a
+    repeated name gets a numeric suffix.
+    """
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path).select("path")
 
+    def first_lines(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            lines = []
+            for name in frame["path"]:
+                with open_file(name) as f:
+                    lines.append(f.read(HEADER_BYTES).split(b"\n", 1)[0].decode("latin-1").rstrip("\r"))
+            yield pd.DataFrame({"path": frame["path"], "line": lines})
 
-def _files(spark: SparkSession, folder: str) -> list[str]:
-    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(folder).select("path")
-    return sorted(r.path for r in listed.collect())
+    found = []
+    for row in listed.mapInPandas(first_lines, "path string, line string").orderBy("path").collect():
+        seen, names = {}, []
+        for name in (c.strip() for c in next(csv.reader([row.line]), [])):
+            n = seen.get(name, 0)
+            seen[name] = n + 1
+            names.append(f"{name}.{n}" if n else name)
+        found.append((row.path, names))
+    return found
 
 
 def read_flow_csvs(spark: SparkSession, folder: str, schema: T.StructType | None = None, with_order: bool = False) -> DataFrame:
@@ -37,18 +53,11 @@ def read_flow_csvs(spark: SparkSession, folder: str, schema: T.StructType | None
     own and united by name. ``with_order`` adds day, file, block and row, which
     together give the order in the files: weekdays first, by file name.
     """
-    try:
-        files = _files(spark, folder)
-    except Exception as error:
-        if "PATH_NOT_FOUND" in str(error):
-            files = []
-        else:
-            raise
-    if not files:
+    if not exists(spark, f"{folder.rstrip('/')}/*.csv"):
         raise FileNotFoundError(f"no CSV files in {folder}")
     by_header: dict[tuple, list[str]] = {}
-    for path in files:
-        by_header.setdefault(tuple(_header(spark, path)), []).append(path)
+    for path, names in _headers(spark, folder):
+        by_header.setdefault(tuple(names), []).append(path)
     table = None
     for names, paths in by_header.items():
         kinds = {f.name: f.dataType for f in schema.fields} if schema else {}
@@ -74,7 +83,7 @@ def read_flows(spark: SparkSession, folder: str) -> DataFrame:
     """The cleaned file when there is one, else all files cleaned."""
     ready = f"{folder.rstrip('/')}/{CLEANED_FILE}"
     if exists(spark, ready):
-        names = _header(spark, ready)
+        names = _headers(spark, ready)[0][1]
         fields = T.StructType([T.StructField(c, T.StringType() if c in TEXT_COLUMNS else T.DoubleType()) for c in names])
         return spark.read.csv(ready, schema=fields, header=True)
     return clean(read_flow_csvs(spark, folder))

@@ -148,6 +148,7 @@ def test_roc_and_auc(spark):
         won = (pos[:, None] > neg).mean() + 0.5 * (pos[:, None] == neg).mean()
         assert got[c] == pytest.approx(won)
     points = evaluate.roc_points(df).filter("class = 1").orderBy("fpr", "tpr").collect()
+    assert (points[0].fpr, points[0].tpr, points[0].score) == (0.0, 0.0, float("inf"))
     for r in points:
         assert r.tpr == pytest.approx((scores[y == 1, 1] >= r.score).mean())
         assert r.fpr == pytest.approx((scores[y != 1, 1] >= r.score).mean())
