@@ -60,6 +60,34 @@ def test_raw_ip_and_later_fragments(spark, tmp_path):
     assert [(r.src_port, r.tcp_flags, r.length) for r in rows] == [(1000, 0x12, 40), (0, 0, 40)]
 
 
+def block(kind, body, order):
+    body += b"\0" * (-len(body) % 4)
+    size = struct.pack(order + "I", len(body) + 12)
+    return struct.pack(order + "I", kind) + size + body + size
+
+
+@pytest.mark.parametrize("order", ["<", ">"])
+def test_block_captures(spark, tmp_path, order):
+    def section():
+        return block(0x0A0D0D0A, struct.pack(order + "IHHq", 0x1A2B3C4D, 1, 0, -1), order)
+
+    def interface(link, resolution=None):
+        options = b"" if resolution is None else struct.pack(order + "HHB3x", 9, 1, resolution)
+        return block(1, struct.pack(order + "HHI", link, 0, 65535) + options, order)
+
+    def packet(number, ticks, body):
+        return block(6, struct.pack(order + "IIIII", number, ticks >> 32, ticks & 0xFFFFFFFF, len(body), len(body)) + body, order)
+
+    data = section() + interface(1) + packet(0, 1_700_000_000_000_005, frame(sport=1)) + block(5, b"stats", order)
+    data += interface(101, 9) + packet(1, 1_700_000_001_000_007_000, frame(sport=2)[14:]) + packet(0, 1_700_000_002_000_000, frame(sport=3))
+    data += section() + interface(1, 0x80 | 10) + packet(0, 1_700_000_003 * 1024 + 512, frame(sport=4))
+    (tmp_path / "x.pcapng").write_bytes(data)
+    for size in (1, 32 << 20):
+        rows = read(spark, tmp_path / "*.pcapng", chunk_bytes=size)
+        assert [(r.src_port, r.us - 1_700_000_000_000_000) for r in rows] == [(1, 5), (2, 1_000_007), (3, 2_000_000), (4, 3_500_000)]
+        assert len({r.seq for r in rows}) == 4
+
+
 def test_capture_to_flow(spark, tmp_path):
     write(tmp_path / "f.pcap", [(1, 0, frame(flags=2)), (1, 500_000, frame("10.0.0.2", "10.0.0.1", 80, 1000)), (2, 0, frame(flags=17))])
     row = assemble_flows(captures.read_captures(spark, str(tmp_path / "f.pcap")), None, None).first()
