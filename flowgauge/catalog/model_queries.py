@@ -116,6 +116,30 @@ def detect(spark, folder):
                          F.to_json("shap_contributions").alias("contributions"))
 
 
+def stored_model_same(spark, folder):
+    """Rows whose prediction differs after a model was stored and reloaded."""
+    found = stored_model(spark, folder)
+    return found.agg(F.sum("fitted").alias("n"), F.sum(F.abs(F.coalesce("fitted", F.lit(0)) - F.coalesce("reloaded", F.lit(0)))).alias("differ"))
+
+
+def probability_sums(spark, folder):
+    """Rows whose class probabilities do not sum to one, or whose confidence is not the largest."""
+    scored, _, _ = classified(spark, folder)
+    total = F.aggregate("probabilities", F.lit(0.0), lambda a, b: a + b)
+    wrong = (F.abs(total - 1) > 1e-9) | (F.col("confidence") != F.get("probabilities", F.col("predicted")))
+    return scored.agg(F.count("*").alias("n"), F.count_if(wrong).alias("wrong"))
+
+
+def explain_sums(spark, folder):
+    """Contributions add up: what is left of the confidence is the same for all rows of a class."""
+    scored, model, _ = classified(spark, folder)
+    full = explain.explain(scored, model, n=len(FEATURES))
+    rest = F.col("confidence") - F.aggregate("shap_contributions", F.lit(0.0), lambda a, c: a + c["value"])
+    spread = full.withColumn("rest", rest).groupBy("predicted").agg(F.count("*").alias("n"), (F.max("rest") - F.min("rest")).alias("spread"))
+    # Twenty values rounded to four places leave at most 0.002 between two rows.
+    return spread.agg(F.sum("n").alias("n"), F.count_if(F.col("spread") > 0.0021).alias("uneven"))
+
+
 def throughput(spark, folder):
     """Rows scored, as timed; the times themselves differ from run to run."""
     scored, _, _ = classified(spark, folder)
@@ -175,7 +199,10 @@ QUERIES = {
     "grid_search": (grid, None),
     "feature_importance": (importance, None),
     "stored_model": (stored_model, None),
+    "stored_model_same": (stored_model_same, "SELECT count(*) AS n, 0 AS differ FROM embeddings"),
     "classify": (classify, None),
+    "probability_sums": (probability_sums, "SELECT count(*) AS n, 0 AS wrong FROM embeddings"),
+    "explain_sums": (explain_sums, "SELECT count(*) AS n, 0 AS uneven FROM embeddings"),
     "isolation_scores": (isolation_scores, None),
     "isolation_share": (isolation_share, """SELECT count(*) AS fitted, CAST(ceil((count(*) - 1) * 0.05) AS BIGINT) AS flagged FROM embeddings WHERE label % 7 = 0"""),
     "explain": (explained, None),
