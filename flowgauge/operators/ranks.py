@@ -129,7 +129,7 @@ def exact_quantiles(df: DataFrame, groups: list[str], columns: Sequence[str], pr
     high = found.withColumnsRenamed({"rank": "above", "value": "high"})
     joined = spots.join(low, [*keys, "below"]).join(high, [*keys, "above"])
     mixed = F.col("low") + (F.col("high") - F.col("low")) * (F.col("spot") - F.col("below"))
-    q = F.transform(F.array_sort(F.collect_list(F.struct("i", mixed.alias("v")))), lambda x: x["v"])
+    q = F.transform(F.sort_array(F.collect_list(F.struct("i", mixed.alias("v")))), lambda x: x["v"])
     return joined.groupBy(*keys).agg(q.alias("q"))
 
 
