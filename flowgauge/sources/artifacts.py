@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Fixed value: the name under which a cleaned flow table is looked for.
 CLEANED_FILE = "cicids2017_cleaned.csv"
 
 
