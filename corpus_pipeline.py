@@ -2,11 +2,16 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flowgauge.llm import exact_dedup, mixing, packing, simhash
+from flowgauge.llm import exact_dedup, mixing, packing, quality, simhash
 from flowgauge.llm.queries import tokenizer_path
 from flowgauge.storage import written
 
 
+def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    model = quality.fit_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.score_quality(docs, model).filter("_good").select(*docs.columns)
+
+
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.drop_copies(docs)
 
@@ -23,7 +28,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs, tokenizer_path())
 
 
-STAGES = [("exact_dedup", drop_copies), ("near_dedup", drop_near_copies), ("mix", mix_sources), ("pack", pack)]
+STAGES = [("quality", drop_poor), ("exact_dedup", drop_copies), ("near_dedup", drop_near_copies), ("mix", mix_sources), ("pack", pack)]
 
 ORACLE_SQL = None
 

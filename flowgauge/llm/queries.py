@@ -3,8 +3,8 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, packing, simhash
-from .common import table
+from . import embedding_dedup, exact_dedup, licences, mixing, packing, quality, simhash, toxicity
+from .common import fold, table
 
 
 def op1_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
@@ -33,6 +33,14 @@ SELECT doc_id, size, source_size, target, CAST(CASE WHEN source_size = 0 THEN 0
 """
 
 
+def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = quality.fit_quality(docs, table(spark, folder, "labels"))
+    return quality.score_quality(docs, model).select(
+        "doc_id", (fold("doc_id") == 0).alias("held_out"), F.col("_score").alias("score"),
+        F.col("_good").cast("int").alias("predicted"))
+
+
 def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     marked = exact_dedup.mark_copies(table(spark, folder, "documents").select("doc_id", "text"))
     return marked.withColumnRenamed("digest", "text_sha256")
@@ -45,6 +53,24 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(content) AS
 """
 
 
+def op5_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return embedding_dedup.near_vectors(table(spark, folder, "embeddings").select("vec_id", "embedding"))
+
+
+def op6_licence_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = licences.scan_licences(table(spark, folder, "documents").select("doc_id", "text"))
+    starts = F.transform("places", lambda p: p["start"])
+    named = F.transform("places", lambda p: p["label"])
+    more = F.transform("spans", lambda s: s["label"])
+    cover = F.array_max(F.transform("spans", lambda s: F.least(s["cover"], F.lit(1.0))))
+    return found.select(
+        "doc_id", "n_words", F.size("places").cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
+        F.array_join(F.array_sort(F.array_distinct(named)), ",").alias("base_labels"),
+        F.array_join(F.array_sort(F.array_union(named, more)), ",").alias("labels"),
+        F.coalesce(cover, F.lit(0.0)).alias("score"))
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
 
@@ -59,9 +85,21 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_copies(table(spark, folder, "documents").select("doc_id", "text"))
 
 
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = toxicity.fit_toxicity(docs, table(spark, folder, "labels"))
+    return toxicity.score_toxicity(docs, model).select(
+        "doc_id", (fold("doc_id") == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        "language")
+
+
 QUERIES = {
     "op1_mix_sources": (op1_mix_sources, OP1_SQL),
+    "op3_quality": (op3_quality, None),
     "op4_exact_dedup": (op4_exact_dedup, OP4_SQL),
+    "op5_embedding_near_dedup": (op5_embedding_near_dedup, None),
+    "op6_licence_scan": (op6_licence_scan, None),
     "op7_pack_documents": (op7_pack_documents, None),
+    "op8_toxicity": (op8_toxicity, None),
     "op10_simhash": (op10_simhash, None),
 }
