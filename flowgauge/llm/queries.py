@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embedding_dedup, exact_dedup, licences, mixing, packing, quality, simhash, toxicity
+from . import embedding_dedup, exact_dedup, language_model, licences, mixing, packing, quality, simhash, toxicity
 from .common import fold, table
 
 
@@ -33,6 +33,12 @@ SELECT doc_id, size, source_size, target, CAST(CASE WHEN source_size = 0 THEN 0
 """
 
 
+def op2_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = language_model.train(docs.filter(fold("doc_id") != 1))
+    return language_model.score(docs, model).withColumn("held_out", fold("doc_id") == 1)
+
+
 def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     model = quality.fit_quality(docs, table(spark, folder, "labels"))
@@ -95,6 +101,7 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_mix_sources": (op1_mix_sources, OP1_SQL),
+    "op2_lm_scores": (op2_lm_scores, None),
     "op3_quality": (op3_quality, None),
     "op4_exact_dedup": (op4_exact_dedup, OP4_SQL),
     "op5_embedding_near_dedup": (op5_embedding_near_dedup, None),
