@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embedding_dedup, exact_dedup, language_model, licences, mixing, packing, quality, simhash, toxicity
+from . import embedding_dedup, exact_dedup, language_model, licences, mixing, packing, quality, repeats, simhash, toxicity
 from .common import fold, table
 
 
@@ -99,6 +99,11 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
         "language")
 
 
+def op9_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
+    found = repeats.remove_repeats(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 QUERIES = {
     "op1_mix_sources": (op1_mix_sources, OP1_SQL),
     "op2_lm_scores": (op2_lm_scores, None),
@@ -108,5 +113,6 @@ QUERIES = {
     "op6_licence_scan": (op6_licence_scan, None),
     "op7_pack_documents": (op7_pack_documents, None),
     "op8_toxicity": (op8_toxicity, None),
+    "op9_repeated_passages": (op9_repeated_passages, None),
     "op10_simhash": (op10_simhash, None),
 }
