@@ -1,85 +1,38 @@
-"""Exact order statistics without sorting or collecting a group.
+"""Exact order statistics without holding a group in one task; one way for tables of any size.
 
-A wanted rank is closed in on by counting: each pass splits the value range
-that still holds the rank into buckets, counts them with a map-side aggregate,
-and keeps one bucket. Once few candidates are left they are sorted. Passes read
-only the value column; what moves is one row per bucket.
+Quantiles are closed in on by counting. Doubles map to whole numbers of the same order (infinities are ordinary ends),
+and each pass cuts the range that still holds a rank into equal parts, counts them in every task, and keeps one part. A
+pass divides a range by ``BUCKETS``, so at most six passes reach a single value; a range with few values left is sorted.
+
+First rows by an order are found by a range sort of the order columns alone: partition sizes say which partition holds
+the last wanted row, and every row is compared with it. Any orderable type will do; nulls come first.
 """
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql.types import ArrayType, DoubleType
 
-from ..storage import fits
+from ..storage import fits, written
 
-BUCKETS = 1024
+BUCKETS = 4096
 CANDIDATES = 100_000
-DIRECT_CELLS = 20_000_000
 GROUPS = 100_000
 
 
-def _bucket(value, lo, hi, integral: bool):
-    if integral:
-        # Widths are whole numbers, so buckets of a LONG key stay exact.
-        width = F.greatest(F.lit(1).cast("long"), F.expr(f"({hi} - {lo}) div {BUCKETS} + 1"))
-        return F.floor((F.col(value) - F.col(lo)) / width).cast("int")
-    share = (F.col(value) - F.col(lo)) / (F.col(hi) - F.col(lo))
-    return F.least(F.lit(BUCKETS - 1), F.floor(share * BUCKETS)).cast("int")
-
+def sortable(x: np.ndarray) -> np.ndarray:
+    """Unsigned 64-bit numbers in the order of the doubles; both zeros are one."""
+    bits = (np.asarray(x, np.float64) + 0.0).view(np.uint64)
+    return np.where(bits >> np.uint64(63), ~bits, bits | np.uint64(1 << 63))
 
-def select_ranks(values: DataFrame, groups: list[str], value: str, targets: DataFrame,
-                 candidates: int = CANDIDATES) -> DataFrame:
-    """(groups, rank, value): the value at each 0-based rank of its group.
 
-    ``values`` holds no NULL or NaN in ``value``; ``targets`` is (groups, rank),
-    one row per wanted rank. Groups are few; their number is checked.
-    """
-    spark = values.sparkSession
-    kind = values.schema[value].dataType
-    integral = isinstance(kind, (T.LongType, T.IntegerType))
-    values = values.select(*groups, F.col(value).cast("long" if integral else "double").alias("_v"))
-    sizes = values.groupBy(*groups).agg(F.count("*").alias("n"), F.min("_v").alias("lo"), F.max("_v").alias("hi"))
-    wanted = targets.join(sizes, groups) if groups else targets.crossJoin(sizes)
-    if not fits(wanted, GROUPS):
-        raise ValueError("too many rank targets for one pass; group more coarsely")
-    state = wanted.withColumn("left", F.col("rank"))
-    schema = state.schema
-    rows = state.collect()
-
-    def near(pending):
-        table = spark.createDataFrame(pending, schema)
-        bound = F.broadcast(table.withColumnsRenamed({g: f"_g{i}" for i, g in enumerate(groups)}))
-        match = F.col("_v").between(F.col("lo"), F.col("hi"))
-        for i, g in enumerate(groups):
-            match = match & (F.col(g) == F.col(f"_g{i}"))
-        return values.join(bound, match).drop(*[f"_g{i}" for i in range(len(groups))])
-
-    done, pending = [], rows
-    while True:
-        done += [r for r in pending if r["lo"] == r["hi"]]
-        pending = [r for r in pending if r["lo"] != r["hi"]]
-        if not pending or max(r["n"] for r in pending) <= candidates:
-            break
-        counted = near(pending).withColumn("bucket", _bucket("_v", "lo", "hi", integral)).groupBy(
-            *groups, "rank", "left", "bucket"
-        ).agg(F.count("*").alias("n"), F.min("_v").alias("lo"), F.max("_v").alias("hi"))
-        run = Window.partitionBy(*groups, "rank").orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        placed = counted.withColumn("upto", F.sum("n").over(run))
-        hit = placed.filter((F.col("upto") > F.col("left")) & (F.col("upto") - F.col("n") <= F.col("left")))
-        pending = hit.select(
-            *groups, "rank", "n", "lo", "hi", (F.col("left") - (F.col("upto") - F.col("n"))).alias("left")
-        ).collect()
-    found = spark.createDataFrame(done, schema).select(*groups, "rank", F.col("lo").alias(value))
-    if not pending:
-        return found
-    # At most ``candidates`` values per target remain.
-    last = near(pending).groupBy(*groups, "rank", "left").agg(F.sort_array(F.collect_list("_v")).alias("vs"))
-    tail = last.select(*groups, "rank", F.element_at("vs", (F.col("left") + 1).cast("int")).alias(value))
-    return found.unionByName(tail)
+def unsortable(keys: np.ndarray) -> np.ndarray:
+    keys = np.asarray(keys, np.uint64)
+    return np.where(keys >> np.uint64(63), keys & np.uint64((1 << 63) - 1), ~keys).view(np.float64)
 
 
 def without_nan(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -87,50 +40,126 @@ def without_nan(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.withColumns({c: F.when(~F.isnan(F.col(c)), F.col(c)) for c in columns if c in floats})
 
 
-def _quantiles_at_once(slim: DataFrame, groups: list[str], columns: Sequence[str], probs: Sequence[float]) -> DataFrame:
-    """One Arrow group per class; only for tables of a checked size."""
-    numbered = slim.select(*groups, *[F.col(f"`{c}`").cast("double").alias(f"_{i}") for i, c in enumerate(columns)])
-    kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in numbered.select(*groups).schema.fields]
+def same(left: Column, right: Column) -> Column:
+    return left.eqNullSafe(right)
+
+
+def _cells(batch: pa.RecordBatch, wanted: dict[tuple[int, int], list]) -> Iterator[tuple[list, np.ndarray]]:
+    """What is wanted of a (group, column), with the keys of its values in this batch."""
+    group = batch.column(0).to_numpy()
+    for (g, c), ranges in wanted.items():
+        column = batch.column(c + 1)
+        x = column.to_numpy(zero_copy_only=False).astype(np.float64)
+        yield ranges, sortable(x[(group == g) & ~np.isnan(x)])
+
+
+def _select(rows: DataFrame, ranks: dict[tuple[int, int], list[int]], candidates: int) -> dict[tuple[int, int, int], float]:
+    """Value at each 0-based rank; ``rows`` is (group number, columns), ``ranks`` is by (group, column)."""
+    spark = rows.sparkSession
+    done: dict[tuple[int, int, int], float] = {}
+    # (group, column, rank): first key, last key, values inside, rank inside.
+    state = {(*cell, r): (0, 2**64 - 1, None, r) for cell, rs in ranks.items() for r in rs}
 
-    def one(frame: pd.DataFrame) -> pd.DataFrame:
-        rows = []
-        for i in range(len(columns)):
-            values = frame[f"_{i}"].to_numpy()
-            values = values[~np.isnan(values)]
-            rows.append((*[frame[g].iloc[0] for g in groups], i, np.quantile(values, probs) if len(values) else None))
-        return pd.DataFrame(rows, columns=[*groups, "_i", "q"])
+    def by_cell():
+        ids = {span: i for i, span in enumerate(sorted({(t[0], t[1], *s[:2]) for t, s in state.items()}))}
+        wanted: dict[tuple[int, int], list] = {}
+        for (g, c, lo, hi), i in ids.items():
+            wanted.setdefault((g, c), []).append((i, lo, hi, (hi - lo) // BUCKETS + 1))
+        return ids, wanted
 
-    found = numbered.groupBy(*groups).applyInPandas(one, ", ".join([*kinds, "_i int", "q array<double>"]))
-    names = F.array(*[F.lit(c) for c in columns])
-    return found.select(*groups, F.element_at(names, F.col("_i") + 1).alias("feature"), "q")
+    while state:
+        ids, wanted = by_cell()
+        held = {}
+        for t, s in state.items():
+            held[ids[(t[0], t[1], *s[:2])]] = s[2]
+        if all(n is not None and n <= candidates for n in held.values()):
+            break
+
+        def count(batches, wanted=wanted):
+            total: dict[int, np.ndarray] = {}
+            for batch in batches:
+                for ranges, keys in _cells(batch, wanted):
+                    for i, lo, hi, width in ranges:
+                        inside = keys[(keys >= np.uint64(lo)) & (keys <= np.uint64(hi))]
+                        bucket = ((inside - np.uint64(lo)) // np.uint64(width)).astype(np.int64)
+                        total[i] = total.get(i, 0) + np.bincount(bucket, minlength=BUCKETS)
+            for i, n in total.items():
+                full = np.nonzero(n)[0]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(full), i)), pa.array(full), pa.array(n[full])], names=["i", "bucket", "n"])
+
+        counted = rows.mapInArrow(count, "i long, bucket long, n long").groupBy("i", "bucket").agg(F.sum("n").alias("n"))
+        run = Window.partitionBy("i").orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        placed = counted.withColumn("upto", F.sum("n").over(run))
+        asked = spark.createDataFrame([(ids[(t[0], t[1], *s[:2])], *t, s[3]) for t, s in state.items()],
+                                      "i long, g long, c long, rank long, left long")
+        hit = placed.join(F.broadcast(asked), "i").filter((F.col("upto") > F.col("left")) & (F.col("upto") - F.col("n") <= F.col("left")))
+        spans = {i: (lo, hi) for (_, _, lo, hi), i in ids.items()}
+        found = {}
+        for r in hit.collect():
+            lo, hi = spans[r.i]
+            width = (hi - lo) // BUCKETS + 1
+            start = lo + r.bucket * width
+            found[(r.g, r.c, r.rank)] = (start, min(hi, start + width - 1), r.n, r.left - (r.upto - r.n))
+        for t, s in list(found.items()):
+            if s[0] == s[1]:
+                done[t] = float(unsortable(np.array([s[0]], np.uint64))[0])
+                del found[t]
+        state = found
+    if state:
+        ids, wanted = by_cell()
+
+        def few(batches, wanted=wanted):
+            for batch in batches:
+                for ranges, keys in _cells(batch, wanted):
+                    for i, lo, hi, _ in ranges:
+                        inside = unsortable(keys[(keys >= np.uint64(lo)) & (keys <= np.uint64(hi))])
+                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(inside), i)), pa.array(inside)], names=["i", "v"])
+
+        # At most ``candidates`` values per range.
+        last = rows.mapInArrow(few, "i long, v double").groupBy("i").agg(F.sort_array(F.collect_list("v")).alias("vs"))
+        asked = spark.createDataFrame([(ids[(t[0], t[1], *s[:2])], *t, s[3]) for t, s in state.items()],
+                                      "i long, g long, c long, rank long, left long")
+        picked = last.join(F.broadcast(asked), "i").select("g", "c", "rank", F.element_at("vs", (F.col("left") + 1).cast("int")).alias("v"))
+        done |= {(r.g, r.c, r.rank): r.v for r in picked.collect()}
+    return done
 
 
 def exact_quantiles(df: DataFrame, groups: list[str], columns: Sequence[str], probs: Sequence[float],
-                    direct_cells: int = DIRECT_CELLS, candidates: int = CANDIDATES) -> DataFrame:
-    """(groups, feature, q): exact quantiles with linear interpolation, missing values skipped.
+                    candidates: int = CANDIDATES) -> DataFrame:
+    """(groups, feature, q): exact quantiles with linear interpolation, missing values (null, NaN) skipped.
 
-    Tables of up to ``direct_cells`` cells are taken in one pass, a group per
-    task. Larger ones go through ``select_ranks``, which never holds a group.
+    A null group is a group; a column without any value in a group gives a null ``q``; infinities are ordinary values. An
+    empty table gives no rows. Groups are few: their number is checked.
     """
-    slim = without_nan(df.select(*groups, *columns), columns)
-    if fits(slim, direct_cells // len(columns)):
-        return _quantiles_at_once(slim, groups, columns, probs)
-    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"`{c}`").cast("double").alias("value")) for c in columns])
-    tall = slim.select(*groups, F.explode(pairs).alias("r")).select(*groups, "r.feature", "r.value").filter("value IS NOT NULL")
-    keys = [*groups, "feature"]
-    at = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p")) for i, p in enumerate(probs)])
-    spots = tall.groupBy(*keys).agg(F.count("*").alias("n")).select(*keys, "n", F.explode(at).alias("s"))
-    spots = spots.select(*keys, "s.i", ((F.col("n") - 1) * F.col("s.p")).alias("spot")).withColumns({
-        "below": F.floor("spot").cast("long"), "above": F.ceil("spot").cast("long"),
-    })
-    ranks = spots.select(*keys, F.explode(F.array("below", "above")).alias("rank")).distinct()
-    found = F.broadcast(select_ranks(tall, keys, "value", ranks, candidates))
-    low = found.withColumnsRenamed({"rank": "below", "value": "low"})
-    high = found.withColumnsRenamed({"rank": "above", "value": "high"})
-    joined = spots.join(low, [*keys, "below"]).join(high, [*keys, "above"])
-    mixed = F.col("low") + (F.col("high") - F.col("low")) * (F.col("spot") - F.col("below"))
-    q = F.transform(F.sort_array(F.collect_list(F.struct("i", mixed.alias("v")))), lambda x: x["v"])
-    return joined.groupBy(*keys).agg(q.alias("q"))
+    spark = df.sparkSession
+    numbered = df.select(*groups, *[F.col(f"`{c}`").cast("double").alias(f"_{i}") for i, c in enumerate(columns)])
+    filled = [F.count(F.when(~F.isnan(f"_{i}"), F.col(f"_{i}"))).alias(f"_{i}") for i in range(len(columns))]
+    counts = numbered.groupBy(*groups).agg(F.count("*").alias("_rows"), *filled) if groups else numbered.agg(
+        F.count("*").alias("_rows"), *filled).filter("_rows > 0")
+    if not fits(counts, GROUPS // max(1, len(columns))):
+        raise ValueError("too many groups; group more coarsely")
+    found = counts.collect()
+    kinds = numbered.select(*groups).schema
+    names = spark.createDataFrame([(*[r[g] for g in groups], k) for k, r in enumerate(found)],
+                                  kinds.add("_g", "long") if groups else "_g long")
+    if groups:
+        table = F.broadcast(names.select(*[F.col(g).alias(f"_n{i}") for i, g in enumerate(groups)], "_g"))
+        match = reduce(lambda a, b: a & b, [same(F.col(g), F.col(f"_n{i}")) for i, g in enumerate(groups)])
+        rows = numbered.join(table, match).select("_g", *[f"_{i}" for i in range(len(columns))])
+    else:
+        rows = numbered.select(F.lit(0).cast("long").alias("_g"), *[f"_{i}" for i in range(len(columns))])
+    spots = {(g, c): [(r[f"_{c}"] - 1) * p for p in probs] for g, r in enumerate(found) for c in range(len(columns)) if r[f"_{c}"]}
+    ranks = {cell: sorted({int(x) for s in at for x in (np.floor(s), np.ceil(s))}) for cell, at in spots.items()}
+    value = _select(rows, ranks, candidates) if ranks else {}
+
+    def quantile(cell, spot):
+        low, high = value[(*cell, int(np.floor(spot)))], value[(*cell, int(np.ceil(spot)))]
+        return low if low == high else low + (high - low) * (spot - np.floor(spot))
+
+    out = [(*[r[x] for x in groups], name, [float(quantile((g, c), s)) for s in spots[g, c]] if (g, c) in spots else None)
+           for g, r in enumerate(found) for c, name in enumerate(columns)]
+    kinds = numbered.select(*groups).schema
+    return spark.createDataFrame(out, kinds.add("feature", "string").add("q", ArrayType(DoubleType())))
 
 
 def scatter_key(*columns: str, seed: int = 42):
@@ -138,63 +167,45 @@ def scatter_key(*columns: str, seed: int = 42):
     return F.xxhash64(F.lit(seed), *columns).bitwiseAND(F.lit((1 << 52) - 1))
 
 
-SORTED_ROWS = 1_000_000
-
-
-def mark_lowest(df: DataFrame, groups: list[str], order: list[str], wanted: DataFrame,
-                candidates: int = CANDIDATES, sorted_rows: int = SORTED_ROWS) -> DataFrame:
+def mark_lowest(df: DataFrame, groups: list[str], order: list[str], wanted: DataFrame) -> DataFrame:
     """Add ``lowest``: the row is among its group's ``k`` first rows by ``order``.
 
-    ``order`` is a list of LONG columns that together are unique; ``wanted`` is
-    (groups, k). Up to ``sorted_rows`` rows are ranked by a sort. Beyond that the
-    rows are neither sorted nor shuffled: the group's last wanted row is found
-    by counting and every row is compared with it.
+    ``order`` columns of any orderable types, together unique near the cut (else an error, at any size); nulls come first.
+    ``wanted`` is (groups, k), one row per group; a null group is a group. Rows themselves are neither sorted nor shuffled.
     """
-    spark = df.sparkSession
     if not fits(wanted, GROUPS):
         raise ValueError("too many groups to compare with; group more coarsely")
-    if fits(df, sorted_rows):
-        asked = F.broadcast(wanted.select(*groups, F.col("k").alias("_k")))
-        joined = df.join(asked, groups, "left") if groups else df.crossJoin(asked)
-        place = F.row_number().over(Window.partitionBy(*groups).orderBy(*order))
-        return joined.withColumn("lowest", F.coalesce(place <= F.col("_k"), F.lit(False))).drop("_k")
-    cuts = spark.createDataFrame(wanted.filter("k > 0").collect(), wanted.schema)
-
-    def beside(left, right):
-        return left.join(F.broadcast(right), groups) if groups else left.crossJoin(F.broadcast(right))
-
-    inside, open_groups = df.select(*groups, *order), cuts
-    for i, key in enumerate(order):
-        if open_groups.isEmpty():
-            break
-        ranks = open_groups.select(*groups, (F.col("k") - 1).alias("rank"))
-        found = select_ranks(inside, groups, key, ranks, candidates).select(*groups, F.col(key).alias(f"_c{i}"))
-        held = beside(inside, found)
-        tally = held.groupBy(*groups, f"_c{i}").agg(
-            F.count_if(F.col(key) < F.col(f"_c{i}")).alias("_less"), F.count_if(F.col(key) == F.col(f"_c{i}")).alias("_same"),
-        )
-        # Where all rows tied at the cut are wanted, later keys need not be looked at.
-        rest = F.col("k") - F.col("_less")
-        step = beside(open_groups.select(*groups, "k"), tally).withColumn("k", F.when(rest < F.col("_same"), rest))
-        step = spark.createDataFrame(step.drop("_less", "_same").collect(), step.drop("_less", "_same").schema)
-        cuts = cuts.drop("k").join(F.broadcast(step), groups, "left") if groups else cuts.drop("k").crossJoin(step)
-        open_groups = step.filter("k IS NOT NULL")
-        inside = held.filter(F.col(key) == F.col(f"_c{i}")).drop(f"_c{i}")
-    if not open_groups.isEmpty():
+    spark = df.sparkSession
+    lanes = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    asked = wanted.select(*[F.col(f"`{g}`").alias(f"_n{i}") for i, g in enumerate(groups)], F.col("k").cast("long").alias("_k"))
+
+    def beside(rows, table, how="inner"):
+        match = reduce(lambda a, b: a & b, [same(F.col(f"`{g}`"), F.col(f"_n{i}")) for i, g in enumerate(groups)], F.lit(True))
+        return rows.join(F.broadcast(table), match, how)
+
+    keys = [f"_o{i}" for i in range(len(order))]
+    slim = beside(df, asked.filter("_k > 0")).select(
+        *[f"_n{i}" for i in range(len(groups))], "_k", *[F.col(f"`{c}`").alias(k) for c, k in zip(order, keys, strict=True)])
+    named = [f"_n{i}" for i in range(len(groups))]
+    placed = written(slim.repartitionByRange(lanes, *named, *keys).withColumn("_part", F.spark_partition_id()))
+    sizes = placed.groupBy(*named, "_k", "_part").agg(F.count("*").alias("_size"))
+    earlier = Window.partitionBy(*named).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    spots = sizes.withColumn("_before", F.coalesce(F.sum("_size").over(earlier), F.lit(0)))
+    spots = spots.filter((F.col("_before") < F.col("_k")) & (F.col("_k") <= F.col("_before") + F.col("_size")))
+    chosen = spots.select(*[F.col(n).alias(f"{n}_") for n in named], F.col("_part").alias("_part_"), (F.col("_k") - F.col("_before")).alias("_left"))
+    match = reduce(lambda a, b: a & b, [same(F.col(n), F.col(f"{n}_")) for n in named], F.col("_part") == F.col("_part_"))
+    row = F.struct(*keys)
+    near = Window.partitionBy(*named, "_part").orderBy(*keys)
+    cut = placed.join(F.broadcast(chosen), match).withColumn("_place", F.row_number().over(near))
+    cut = cut.withColumn("_after", F.lead(row).over(near)).filter(F.col("_place") == F.col("_left"))
+    cut = written(cut.select(*named, row.alias("_cut"), same(F.col("_after"), row).alias("_tied")))
+    if not cut.filter("_tied").isEmpty():
         raise ValueError(f"rows are not told apart by {order}")
-
-    levels = [c for c in cuts.columns if c.startswith("_c")]
-
-    def under(limit):
-        low = F.lit(True)
-        for i in reversed(range(len(levels))):
-            cut, key = limit(f"_c{i}"), F.col(order[i])
-            low = F.when(cut.isNull(), True).otherwise((key < cut) | ((key == cut) & low))
-        return low
-
-    if not groups:
-        row = cuts.first()
-        return df.withColumn("lowest", under(lambda c: F.lit(row[c]).cast("long")) if row else F.lit(False))
-    limits = F.broadcast(cuts.select(*groups, *levels, F.lit(True).alias("_asked")))
-    joined = df.join(limits, groups, "left")
-    return joined.withColumn("lowest", F.coalesce(F.col("_asked") & under(F.col), F.lit(False))).drop("_asked", *levels)
+    # A group without a cut is wanted whole, if it is wanted at all.
+    limits = asked.join(cut.select(*[F.col(n).alias(f"{n}_") for n in named], "_cut"),
+                        reduce(lambda a, b: a & b, [same(F.col(n), F.col(f"{n}_")) for n in named], F.lit(True)), "left")
+    limits = limits.select(*named, "_k", "_cut")
+    own = F.struct(*[F.col(f"`{c}`").alias(k) for c, k in zip(order, keys, strict=True)])
+    lowest = F.when(F.col("_k") <= 0, F.lit(False)).when(F.col("_cut").isNull(), F.col("_k").isNotNull()).otherwise(own <= F.col("_cut"))
+    marked = beside(df, limits, "left").withColumn("lowest", F.coalesce(lowest, F.lit(False)))
+    return marked.drop("_k", "_cut", *named)

@@ -44,43 +44,75 @@ def numbers(spark):
     return spark.createDataFrame(rows, "id long, g string, v double, w double").cache()
 
 
-def test_quantiles_by_counting_equal_direct(numbers):
+@pytest.mark.parametrize("candidates", [1, 5, 100_000])
+def test_quantiles_equal_plain_ones(numbers, candidates):
     probs = [0.0, 0.01, 0.25, 0.5, 0.9, 1.0]
-    direct = {(r.g, r.feature): list(r.q) for r in ranks.exact_quantiles(numbers, ["g"], ["v", "w"], probs).collect()}
-    counted = ranks.exact_quantiles(numbers, ["g"], ["v", "w"], probs, direct_cells=0, candidates=5)
-    for r in counted.collect():
-        assert np.allclose(direct[(r.g, r.feature)], r.q)
     frame = numbers.toPandas()
-    assert np.allclose(direct[("a", "v")], frame[frame.g == "a"].v.quantile(probs))
-
-
-def test_quantiles_with_one_dominant_value(spark):
-    df = spark.createDataFrame([(1.0,)] * 500 + [(float(i),) for i in range(400)], "v double")
-    got = ranks.exact_quantiles(df, [], ["v"], [0.5, 0.75], direct_cells=0, candidates=3).first().q
-    assert got == ranks.exact_quantiles(df, [], ["v"], [0.5, 0.75]).first().q
+    for r in ranks.exact_quantiles(numbers, ["g"], ["v", "w"], probs, candidates=candidates).collect():
+        assert np.allclose(frame[frame.g == r.g][r.feature].quantile(probs), r.q, rtol=1e-12)
+
+
+@pytest.mark.parametrize("candidates", [1, 100_000])
+def test_quantiles_of_awkward_values(spark, candidates):
+    """Ties, both infinities, both zeros, missing values, a null group, a column without values."""
+    inf, nan = float("inf"), float("nan")
+    rows = [("a", 1.0, None)] * 500 + [("a", float(i), None) for i in range(400)] + [("a", nan, None), ("a", None, None)]
+    rows += [(None, x, None) for x in (inf, -inf, 1.0, 2.0, 3.0, 1e300, -1e300)] + [("z", -0.0, nan), ("z", 0.0, nan), ("z", -1e-320, nan)]
+    df = spark.createDataFrame(rows, "g string, v double, empty double")
+    got = {(r.g, r.feature): r.q for r in ranks.exact_quantiles(df, ["g"], ["v", "empty"], [0.0, 0.5, 0.75, 1.0], candidates=candidates).collect()}
+    plain = sorted([1.0] * 500 + [float(i) for i in range(400)])
+    assert got["a", "v"] == pytest.approx(np.quantile(plain, [0.0, 0.5, 0.75, 1.0]).tolist())
+    assert got[None, "v"][0] == -inf and got[None, "v"][1] == 2.0 and got[None, "v"][3] == inf
+    assert got["z", "v"][0] == -1e-320 and got["z", "v"][3] == 0.0
+    assert all(got[g, "empty"] is None for g in ("a", None, "z"))
+    assert ranks.exact_quantiles(df.limit(0), [], ["v"], [0.5]).count() == 0
+    whole = ranks.exact_quantiles(df.filter("g = 'a'"), [], ["v"], [0.5], candidates=candidates).first().q
+    assert whole == got["a", "v"][1:2]
+
+
+def test_no_task_holds_a_table(numbers):
+    """Counting passes send counts, not values, however small the table is."""
+    plan = numbers._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan
+    found = ranks.mark_lowest(numbers, ["g"], ["v", "id"], numbers.groupBy("g").agg(F.lit(5).cast("long").alias("k")))
+    assert "SinglePartition" not in found._jdf.queryExecution().executedPlan().toString() and found.filter("lowest").count() == 15
 
 
 @pytest.mark.parametrize("order", [["h", "id"], ["coarse", "id"]])
 def test_cut_by_counting_equals_sort(numbers, order):
     df = numbers.withColumn("h", sampling.scatter_key("id")).withColumn("coarse", F.col("id") % 5)
-    by_sort = sampling.sample_per_class(df, "g", 100, order).select("id").collect()
-    by_count = sampling.sample_per_class(df, "g", 100, order, candidates=4, sorted_rows=0).select("id").collect()
-    assert sorted(by_sort) == sorted(by_count) and len(by_sort) == 300
+    frame = df.toPandas().sort_values(order)
+    want = frame.groupby("g").head(100)["id"]
+    got = sampling.sample_per_class(df, "g", 100, order).select("id").collect()
+    assert sorted(r.id for r in got) == sorted(want) and len(got) == 300
+
+
+def test_first_rows_by_text_and_nulls(spark):
+    """Text order columns, nulls first, a null group, groups that are wanted whole or not at all."""
+    rows = [(g, None if i % 10 == 0 else f"file-{i % 7}", i) for i in range(100) for g in ("a", None, "b", "c")]
+    df = spark.createDataFrame(rows, "g string, f string, i long").repartition(5)
+    wanted = spark.createDataFrame([("a", 33), (None, 15), ("b", 1000), ("c", 0)], "g string, k long")
+    got = ranks.mark_lowest(df, ["g"], ["f", "i"], wanted).filter("lowest").collect()
+    order = sorted({(f or "", i) for _, f, i in rows})
+    for g, k in (("a", 33), (None, 15), ("b", 100), ("c", 0)):
+        assert sorted((r.f or "", r.i) for r in got if r.g == g) == order[:k]
+    train, test = sampling.split_chronological(df, ["f", "i", "g"])
+    assert (train.count(), test.count()) == (320, 80)
 
 
 def test_cut_needs_an_order_that_tells_rows_apart(numbers):
     with pytest.raises(ValueError):
-        sampling.sample_per_class(numbers.withColumn("k", F.lit(1).cast("long")), "g", 10, ["k"], sorted_rows=0)
+        sampling.sample_per_class(numbers.withColumn("k", F.lit(1).cast("long")), "g", 10, ["k"])
 
 
 def test_chronological_split(numbers):
-    for options in ({}, {"sorted_rows": 0, "candidates": 10}):
+    for options in ({},):
         train, test = sampling.split_chronological(numbers, ["id"], **options)
         assert (train.count(), test.agg(F.min("id")).first()[0]) == (1680, 1680)
 
 
 def test_stratified_split(numbers):
-    for options in ({}, {"sorted_rows": 0, "candidates": 10}):
+    for options in ({},):
         train, test = sampling.split_stratified(numbers, "g", ["id"], **options)
         assert {r.g: r["count"] for r in train.groupBy("g").count().collect()} == {"a": 240, "b": 240, "c": 1200}
         assert test.count() == 420
@@ -90,7 +122,7 @@ def test_stratified_split(numbers):
 
 
 def test_undersample(numbers):
-    for options in ({}, {"sorted_rows": 0, "candidates": 10}):
+    for options in ({},):
         got = {r.g: r["count"] for r in sampling.undersample(numbers, "g", "c", 77, ["id"], **options).groupBy("g").count().collect()}
         assert got == {"a": 300, "b": 300, "c": 77}
     assert sampling.undersample(numbers, "g", "c", 10_000, ["id"]).count() == 2100
