@@ -41,7 +41,7 @@ def boosted(spark, folder):
 
 def perceptron(spark, folder):
     rows = table(spark, folder)
-    return evaluate.class_report(models.predictions(models.train_mlp(rows, hidden=[16], iterations=20), rows))
+    return evaluate.class_report(models.predictions(models.train_mlp(rows), rows))
 
 
 def primary(spark, folder):
@@ -84,14 +84,14 @@ def classify(spark, folder):
 
 def isolation_scores(spark, folder):
     rows = scaled(spark, folder)
-    model = isolation.fit_isolation(rows.filter("label = 0"), FEATURES, ["vec_id"], trees=50)
+    model = isolation.fit_isolation(rows.filter("label = 0"), FEATURES, ["vec_id"])
     return isolation.score_isolation(rows, model, FEATURES).select("vec_id", "label", "anomaly_score", "is_anomaly")
 
 
 def isolation_share(spark, folder):
     """Rows the model was fitted on, and how many of them it flags."""
     rows = scaled(spark, folder).filter("label = 0")
-    model = isolation.fit_isolation(rows, FEATURES, ["vec_id"], trees=50)
+    model = isolation.fit_isolation(rows, FEATURES, ["vec_id"])
     marked = isolation.score_isolation(rows, model, FEATURES)
     return marked.agg(F.count("*").alias("fitted"), F.count_if("is_anomaly").alias("flagged"))
 
@@ -110,7 +110,7 @@ def detect(spark, folder):
     df = flows(spark, folder)
     scaler = scaling.fit_scaler(df, FEATURES)
     model = models.train_forest(table(spark, folder), **SMALL_FOREST)
-    anomaly = isolation.fit_isolation(scaled(spark, folder).filter("label = 0"), FEATURES, ["vec_id"], trees=50)
+    anomaly = isolation.fit_isolation(scaled(spark, folder).filter("label = 0"), FEATURES, ["vec_id"])
     raised, _ = detection.detect(df, model, scaler, anomaly)
     return raised.select(F.unix_micros("timestamp").alias("us"), *FLOW_META, "attack_type", "confidence", "severity", "anomaly_score",
                          F.to_json("shap_contributions").alias("contributions"))
@@ -140,12 +140,6 @@ def explain_sums(spark, folder):
     return spread.agg(F.sum("n").alias("n"), F.count_if(F.col("spread") > 0.0021).alias("uneven"))
 
 
-def throughput(spark, folder):
-    """Rows scored, as timed; the times themselves differ from run to run."""
-    scored, _, _ = classified(spark, folder)
-    return evaluate.score_throughput(scored).select("rows", (F.col("seconds") > 0).alias("timed"))
-
-
 def pca(spark, folder):
     points, shares = models.pca2(views.embedding_flows(spark, folder), keep=["vec_id", "label"])
     return points.withColumns({"share_1": F.lit(shares[0]), "share_2": F.lit(shares[1])})
@@ -208,7 +202,6 @@ QUERIES = {
     "explain": (explained, None),
     "explain_first": (explained_first, None),
     "detect": (detect, None),
-    "score_throughput": (throughput, 'SELECT count(*) AS "rows", true AS timed FROM embeddings'),
     "pca": (pca, None),
     "pca_spread": (pca_spread, "SELECT count(*) AS n, true AS first_fits, true AS second_fits FROM embeddings"),
     "smote": (smote, f"""WITH {COUNTS}, t AS (SELECT max(n) AS top FROM c) SELECT label, false AS synthetic, n FROM c

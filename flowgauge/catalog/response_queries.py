@@ -13,12 +13,12 @@ POLICY = response.Policy(window_seconds=HOURS, escalate_at=3)
 
 
 def _whitelist(spark, folder):
-    """Addresses of every tenth customer stand for the whitelist."""
+    """Addresses of customers in debt stand for the whitelist."""
     ips = views.USER_IP.replace("user_id", "c_custkey")
-    return views.table(spark, folder, "customer").filter("c_custkey % 10 = 3").selectExpr(f"{ips} as ip")
+    return views.table(spark, folder, "customer").filter("c_acctbal < 0").selectExpr(f"{ips} as ip")
 
 
-WHITELIST_SQL = f"SELECT {views.USER_IP_SQL.replace('user_id', 'c_custkey')} AS ip FROM customer WHERE c_custkey % 10 = 3"
+WHITELIST_SQL = f"SELECT {views.USER_IP_SQL.replace('user_id', 'c_custkey')} AS ip FROM customer WHERE c_acctbal < 0"
 
 DECIDE_CTES = f"""
 al AS (SELECT *, src_ip IN ({WHITELIST_SQL}) AS ex FROM ({views.ALERTS_SQL})),

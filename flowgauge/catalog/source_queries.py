@@ -64,9 +64,13 @@ def flow_csvs(spark, folder):
 def flow_csv_cleaned(spark, folder):
     """A folder that holds the cleaned file: it is taken as it is, copies and all."""
     path = _place(spark)
-    regroup_labels(tq.raw(spark, folder)).filter("`Flow Duration` > 2 AND `Flow Duration` < 50").write.csv(
+    regroup_labels(tq.raw(spark, folder)).write.csv(
         f"{path}/{artifacts.CLEANED_FILE}", header=True)
-    return flow_csv.read_flows(spark, path).groupBy("Attack Type").agg(F.count("*").alias("n"), F.sum("Flow Duration").alias("total"))
+    rate = F.col("Flow Bytes/s")
+    known = rate.isNotNull() & ~F.isnan(rate)
+    return flow_csv.read_flows(spark, path).groupBy("Attack Type").agg(
+        F.count("*").alias("n"), F.sum("Flow Duration").alias("total"),
+        F.count_if(known & (F.abs(rate) == float("inf"))).alias("infinite"), F.count_if(~known).alias("missing"))
 
 
 def alert_log(spark, folder):
@@ -104,8 +108,9 @@ def importance_table(spark, folder):
     return artifacts.read_importance(spark, path)
 
 
-CLEAN_ROWS = f"""WITH {tq.RAW} SELECT {tq.GROUPED} AS "Attack Type", count(*) AS n, sum("Flow Duration") AS total FROM raw
-  WHERE "Flow Duration" > 2 AND "Flow Duration" < 50 GROUP BY 1"""
+CLEAN_ROWS = f"""WITH {tq.RAW} SELECT {tq.GROUPED} AS "Attack Type", count(*) AS n, sum("Flow Duration") AS total,
+  count(*) FILTER (isinf("Flow Bytes/s")) AS infinite, count(*) FILTER ("Flow Bytes/s" IS NULL OR isnan("Flow Bytes/s")) AS missing
+  FROM raw GROUP BY 1"""
 CUSTOMER_IP = views.USER_IP_SQL.replace("user_id", "c_custkey")
 QUERIES = {
     "captures_read": (captures_read, f"""SELECT us, src_ip, dst_ip, src_port, dst_port, protocol, greatest(60, length) AS length, tcp_flags FROM ({views.PACKETS_SQL})"""),

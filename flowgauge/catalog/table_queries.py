@@ -42,7 +42,7 @@ def regroup(spark, folder):
 
 
 def infinite_to_null(spark, folder):
-    return cleaning.inf_to_null(raw(spark, folder)).select("Flow Duration", "Flow Bytes/s", "Attack Type").filter("`Flow Duration` <= 3")
+    return cleaning.inf_to_null(raw(spark, folder)).select("Flow Duration", "Flow Bytes/s", "Attack Type")
 
 
 def incomplete_dropped(spark, folder):
@@ -111,7 +111,8 @@ def imputed(spark, folder):
 
 def sampled(spark, folder):
     """A repeatable tenth of the rows."""
-    return sampling.sample_fraction(lab(spark, folder), 0.1, views.ROW_KEYS).select(*views.ROW_KEYS)
+    place = F.expr(SCATTER) / F.lit(4294967296.0)
+    return sampling.sample_fraction(lab(spark, folder), 0.1, place=place).select(*views.ROW_KEYS)
 
 
 def scaler_fit(spark, folder):
@@ -183,7 +184,7 @@ def boxes(spark, folder):
 
 
 def quartiles(spark, folder):
-    found = eda.class_quartiles(ordered(spark, folder), ORDER, per_class=800)
+    found = eda.class_quartiles(ordered(spark, folder), ORDER)
     return found.select("feature", "label", *[F.round(c, 4).alias(c) for c in ("q1", "median", "q3")], "position")
 
 
@@ -192,7 +193,7 @@ BOX_SQL = f"""WITH {LAB}, t AS ({' UNION ALL '.join(f"SELECT {TRAFFIC} AS Traffi
 q AS (SELECT Traffic, feature, quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.5) AS median, quantile_cont(v, 0.75) AS q3 FROM t GROUP BY ALL)
 SELECT Traffic, feature, round(q1, 4) AS q1, round(median, 4) AS median, round(q3, 4) AS q3, round(min(v), 4) AS whisker_low, round(max(v), 4) AS whisker_high
 FROM t JOIN q USING (Traffic, feature) WHERE v BETWEEN q1 - (q3 - q1) * 1.5 AND q3 + (q3 - q1) * 1.5 GROUP BY ALL"""
-VIOLIN_SQL = f"""WITH {LAB}, s AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY "Attack Type" ORDER BY {ORDER_SQL}) AS rn FROM lab) WHERE rn <= 800),
+VIOLIN_SQL = f"""WITH {LAB}, s AS (SELECT * FROM lab),
 t AS ({' UNION ALL '.join(f"SELECT '{c}' AS feature, " + f'"Attack Type" AS label, "{c}" AS v FROM s' for c in VIOLIN_FEATURES)}),
 q AS (SELECT feature, label, quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.5) AS median, quantile_cont(v, 0.75) AS q3 FROM t GROUP BY ALL)
 SELECT feature, label, round(q1, 4) AS q1, round(median, 4) AS median, round(q3, 4) AS q3,
@@ -212,7 +213,7 @@ STATS = ("avg(?) AS m", "stddev_samp(?) AS s")
 QUERIES = {
     "strip_columns": (strip_names, f'WITH {RAW} SELECT "Label", sum("Flow Duration") AS total, count(*) AS n FROM raw GROUP BY 1'),
     "regroup_labels": (regroup, f'WITH {RAW} SELECT {GROUPED} AS "Attack Type", count(*) AS n FROM raw GROUP BY 1'),
-    "inf_to_null": (infinite_to_null, f'WITH {CLEAN} SELECT "Flow Duration", "Flow Bytes/s", "Attack Type" FROM inf WHERE "Flow Duration" <= 3'),
+    "inf_to_null": (infinite_to_null, f'WITH {CLEAN} SELECT "Flow Duration", "Flow Bytes/s", "Attack Type" FROM inf'),
     "drop_incomplete": (incomplete_dropped, f'WITH {CLEAN} SELECT "Flow Duration", "Flow Bytes/s", "Flow Packets/s" FROM ok'),
     "dedup": (dedup_rows, f"WITH {CLEAN} SELECT DISTINCT * FROM ok"),
     "dedup_keep_first": (dedup_first, "SELECT l_quantity, l_discount, l_tax, min(l_orderkey) AS l_orderkey FROM lineitem GROUP BY 1, 2, 3"),
@@ -226,7 +227,7 @@ QUERIES = {
     "select_features": (selected, f"WITH {LAB} SELECT {KEYS}, " + ", ".join(
         f'0.0::DOUBLE AS "{c}"' if c in ("Flow IAT Std", "PSH Flag Count") else f'"{c}"' for c in FEATURES) + " FROM lab"),
     "traffic_kind": (kinds, f"WITH {LAB} SELECT {TRAFFIC} AS Traffic, count(*) AS n FROM lab GROUP BY 1"),
-    "sample_fraction": (sampled, None),
+    "sample_fraction": (sampled, f"WITH {LAB} SELECT {KEYS} FROM lab WHERE ({SCATTER}) / 4294967296.0::DOUBLE < 0.1"),
     "sample_per_class": (per_class, f"""WITH {LAB} SELECT {KEYS}, "Attack Type" FROM (SELECT *, row_number() OVER (PARTITION BY "Attack Type" ORDER BY {ORDER_SQL}) AS rn FROM lab) WHERE rn <= 500"""),
     "undersample": (undersampled, f"""WITH {LAB} SELECT {KEYS}, "Attack Type" FROM (SELECT *, row_number() OVER (PARTITION BY "Attack Type" ORDER BY {ORDER_SQL}) AS rn FROM lab)
        WHERE "Attack Type" <> 'Normal Traffic' OR rn <= 3000"""),

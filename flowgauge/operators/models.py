@@ -111,16 +111,10 @@ def train_mlp(df: DataFrame, hidden: list[int] = PERCEPTRON_LAYERS, iterations:
 
 
 def train_primary(df: DataFrame, kind: str = "boosted", **params):
-    """(name, model): boosted trees, or a forest when asked for or when boosting fails."""
+    """(name, model): boosted trees, or a forest when asked for. Boosting is part of Spark, so nothing stands in for it."""
     if kind not in ("boosted", "forest"):
         raise ValueError(f"unknown model kind {kind!r}")
-    if kind == "boosted":
-        try:
-            return "boosted", train_boosted(df, **params)
-        except Exception as error:  # the forest stands in, and the reason is shown
-            print(f"boosting failed ({type(error).__name__}); training a forest")
-            params = {}
-    return "forest", train_forest(df, **params)
+    return kind, (train_boosted if kind == "boosted" else train_forest)(df, **params)
 
 
 def predictions(model, df: DataFrame) -> DataFrame:

@@ -200,9 +200,9 @@ def box_stats(df: DataFrame, columns: list[str] = BOX_FEATURES, label: str = LAB
 
 
 def class_quartiles(df: DataFrame, order: list[str], columns: list[str] = VIOLIN_FEATURES, label: str = LABEL,
-                    per_class: int = 5000) -> DataFrame:
-    """(feature, label, q1, median, q3, position) over a capped sample per class; classes ordered by median."""
-    sampled = sample_per_class(df, label, per_class, order)
+                    per_class: int | None = None) -> DataFrame:
+    """(feature, label, q1, median, q3, position); classes ordered by median. ``per_class`` caps the rows of a class first."""
+    sampled = sample_per_class(df, label, per_class, order) if per_class else df
     renamed = sampled.select(quoted(label).alias("label"), *[quoted(c) for c in columns])
     found = exact_quantiles(renamed, ["label"], columns, [0.25, 0.5, 0.75]).select(
         "feature", "label", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
