@@ -1,11 +1,13 @@
 """Models trained on the embedding view, and what is computed from them."""
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from .. import views
 from ..operators import alerts, explain, isolation, models, oversampling, scaling
 from ..plans import detection, evaluate, training
 from ..schemas import FEATURES, FLOW_META
+from ..storage import written
 
 SMALL_FOREST = {"numTrees": 20, "maxDepth": 5}
 SMALL_BOOST = {"maxIter": 3, "maxDepth": 3}
@@ -118,8 +120,19 @@ def detect(spark, folder):
 
 def stored_model_same(spark, folder):
     """Rows whose prediction differs after a model was stored and reloaded."""
-    found = stored_model(spark, folder)
-    return found.agg(F.sum("fitted").alias("n"), F.sum(F.abs(F.coalesce("fitted", F.lit(0)) - F.coalesce("reloaded", F.lit(0)))).alias("differ"))
+    from .source_queries import _place
+
+    rows, place = written(scaled(spark, folder)), _place(spark)
+    table = models.assembled(rows)
+    keyed = rows.select("vec_id", models.assembled_vector(FEATURES).alias("features"), F.col("label").cast("double").alias("label"))
+    model = models.train_forest(table)
+    models.save_model(model, place)
+
+    def shown(m, name):
+        return m.transform(keyed).select("vec_id", F.struct("prediction", vector_to_array("probability").alias("p")).alias(name))
+
+    both = shown(model, "fitted").join(shown(models.load_best_model(spark, place), "reloaded"), "vec_id", "full")
+    return both.agg(F.count("*").alias("n"), F.count_if(~F.col("fitted").eqNullSafe(F.col("reloaded"))).alias("differ"))
 
 
 def probability_sums(spark, folder):

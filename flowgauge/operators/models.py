@@ -12,7 +12,7 @@ from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.evaluate import metrics
@@ -39,6 +39,11 @@ BOOSTED_DIR = "boosted"
 TUNED_DIR = "forest_tuned"
 
 
+def assembled_vector(columns: list[str] = FEATURES) -> Column:
+    """The columns as one MLlib vector."""
+    return array_to_vector(F.array(*[quoted(c).cast("double") for c in columns]))
+
+
 def assembled(df: DataFrame, columns: list[str] = FEATURES, label: str = "label") -> DataFrame:
     """(features, label) as MLlib wants them."""
     numbered = [quoted(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)]
