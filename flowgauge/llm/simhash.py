@@ -192,7 +192,9 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` with the smallest id of each component; of rows that repeat that id one stays."""
     found = near_copies(docs, id_col, text_col, **options)
-    keep = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_keep")).distinct()
-    one = Window.partitionBy(id_col).orderBy(text_col)
-    numbered = docs.join(keep, docs[id_col].eqNullSafe(F.col("_keep"))).drop("_keep").withColumn("_n", F.row_number().over(one))
-    return numbered.filter("_n = 1").drop("_n")
+    named = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("")).alias("_keep")
+    keep = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(named("doc_id")).distinct()
+    # Join and window share one partitioning, so texts move once.
+    one = Window.partitionBy("_keep").orderBy(text_col)
+    numbered = docs.withColumn("_keep", named(id_col)).join(keep, "_keep").withColumn("_n", F.row_number().over(one))
+    return numbered.filter("_n = 1").select(*docs.columns)
