@@ -263,3 +263,23 @@ def test_grid_and_primary(small):
     assert len(models.grid_points()) == 12
     with pytest.raises(ValueError):
         models.train_primary(rows, "other")
+
+
+@pytest.mark.parametrize("n", [300, 25_000])
+def test_every_tree_draws_a_whole_sample_of_all_rows(spark, n):
+    rows = spark.range(n).select(F.struct("id").alias("id"), F.array(F.col("id").cast("double")).alias("x"))
+    drawn = isolation._drawn(rows, n, 200, 256, 42).select("tree", F.col("x")[0].alias("v")).toPandas()
+    assert drawn.groupby("tree").size().tolist() == [256] * 200
+    assert not drawn.duplicated().any()
+    # Trees share rows, as independent draws do, and together they reach most of the table.
+    assert drawn.v.duplicated().any() and drawn.v.nunique() > 0.8 * min(n, 200 * 256 * (1 - 256 / n))
+
+
+def test_equal_distances_go_by_value():
+    points = [[0.0, 1.0], [1.0, 0.0], [0.0, -1.0], [-1.0, 0.0], [2.0, 2.0]]
+    visitors = pd.DataFrame({"c": [0], "x": [[0.0, 0.0]]})
+    for order in ([0, 1, 2, 3, 4], [4, 3, 2, 1, 0], [2, 0, 4, 1, 3]):
+        held = pd.DataFrame({"hx": [points[i] for i in order], "hm": [1] * 5})
+        got = neighbours._nearest(visitors, held, 3)
+        assert [list(v) for v in got["nx"]] == [[-1.0, 0.0], [0.0, -1.0], [0.0, 1.0]]
+        assert np.allclose(got["d2"], 1.0)
