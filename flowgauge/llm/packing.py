@@ -7,6 +7,7 @@ of its own, so no sequence crosses documents and none needs padding. The work is
 import os
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -19,16 +20,18 @@ from .common import slices, texts
 LONGEST = 4096
 END = 2
 BATCH_BYTES = 8_000_000
-CACHED_WORDS = 400_000
+CACHED_WORDS = 1_000_000
+MARKS = b".,;:!?"
 
 PIECE = ("doc_id {id}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, bucket int")
 
 
 class WordIds:
-    """Token ids of white-space separated words, each distinct word tokenized once.
+    """Token ids of white-space separated words, each distinct word tokenized once per worker.
 
-    The tokenizer drops white space and never merges across it, so a text's ids are its words' ids in a row. The cache
-    is emptied when it is full; that costs time only.
+    The tokenizer lower-cases, drops white space, never merges across it, and keeps a letter or digit apart from a mark
+    after it. So a text's ids are the ids of its lower-cased words in a row, a final mark being a word of its own. Texts
+    that may hold special strings are not lower-cased beforehand. A full cache is emptied; that costs time only.
     """
 
     def __init__(self, tokenizer_path: str):
@@ -39,34 +42,56 @@ class WordIds:
         self._clear()
 
     def _clear(self) -> None:
-        self.known: dict[bytes, int] = {}
-        self.flat: list[np.ndarray] = []
-        self.count: list[np.ndarray] = []
+        # Entry 0 has no ids, entry 1 is the end token.
+        self.known: dict[bytes, int] = {b"": 0, b"\n": 1}
+        self.count, self.flat = np.array([0, 1]), np.zeros(1, "<u4")
 
-    def encode(self, documents: list[list[bytes]], end: int) -> list[np.ndarray]:
-        if len(self.known) > CACHED_WORDS:
-            self._clear()
-        new = {w for words in documents for w in words if w not in self.known}
-        if new:
-            fresh = list(new)
+    def _learn(self, words: set[bytes]) -> None:
+        fresh = [w for w in words if w not in self.known]
+        if fresh:
             found = [e.ids for e in self.tokenizer.encode_batch([w.decode("utf-8") for w in fresh], add_special_tokens=False)]
             self.known.update(zip(fresh, range(len(self.known), len(self.known) + len(fresh)), strict=True))
-            self.count.append(np.fromiter(map(len, found), dtype=np.int64, count=len(found)))
-            self.flat.append(np.fromiter((i for ids in found for i in ids), dtype="<u4"))
-        count = np.concatenate(self.count) if self.count else np.empty(0, np.int64)
-        flat = np.concatenate(self.flat) if self.flat else np.empty(0, "<u4")
-        self.count, self.flat = [count], [flat]
-        first = np.cumsum(count) - count
-        out = []
+            self.count = np.concatenate([self.count, np.fromiter(map(len, found), np.int64, len(found))])
+            self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(found), "<u4")])
+
+    def encode(self, texts: list[bytes], end: int) -> list[np.ndarray]:
+        """Ids of each text, the end id last."""
+        if len(self.known) > CACHED_WORDS:
+            self._clear()
+        documents = [(t if b"<|" in t else t.lower()).split() for t in texts]
+        raw = list(set(chain.from_iterable(documents)))
+        cut = [len(w) - 1 if len(w) > 1 and w[-1] in MARKS and w[-2:-1].isalnum() else len(w) for w in raw]
+        cores = [w[:n] for w, n in zip(raw, cut, strict=True)]
+        tails = [w[n:] for w, n in zip(raw, cut, strict=True)]
+        self._learn({*cores, *tails})
+        get = self.known.__getitem__
+        pair = np.empty((len(raw) + 1, 2), np.int64)
+        pair[:-1, 0] = np.fromiter(map(get, cores), np.int64, len(raw))
+        pair[:-1, 1] = np.fromiter(map(get, tails), np.int64, len(raw))
+        pair[-1] = (1, 0)
+        local = dict(zip(raw, range(len(raw)), strict=True))
+        local[b"\n"] = len(raw)
         for words in documents:
-            index = np.fromiter(map(self.known.__getitem__, words), dtype=np.int64, count=len(words))
-            n = count[index]
-            total = int(n.sum())
-            ids = np.empty(total + 1, "<u4")
-            ids[:total] = flat[np.repeat(first[index] - (np.cumsum(n) - n), n) + np.arange(total)]
-            ids[total] = end
-            out.append(ids)
-        return out
+            words.append(b"\n")
+        sizes = np.fromiter(map(len, documents), np.int64, len(documents))
+        index = pair[np.fromiter(map(local.__getitem__, chain.from_iterable(documents)), np.int64, int(sizes.sum()))].reshape(-1)
+        n = self.count[index]
+        first = np.cumsum(self.count) - self.count
+        ends = np.cumsum(n)
+        total = int(ends[-1]) if len(ends) else 0
+        self.flat[0] = end
+        ids = self.flat[np.repeat(first[index] - (ends - n), n) + np.arange(total)]
+        return np.split(ids, ends[2 * np.cumsum(sizes) - 1][:-1]) if len(documents) else []
+
+
+_BY_PATH: dict[str, WordIds] = {}
+
+
+def word_ids(tokenizer_path: str) -> WordIds:
+    """One cache per worker process, kept from task to task."""
+    if tokenizer_path not in _BY_PATH:
+        _BY_PATH[tokenizer_path] = WordIds(tokenizer_path)
+    return _BY_PATH[tokenizer_path]
 
 
 def binary_pieces(n: int, longest: int = LONGEST) -> list[int]:
@@ -87,7 +112,7 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
     schema = PIECE.format(id=kind.simpleString()) + (", ids array<long>" if with_ids else "")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordIds(tokenizer_path)
+        words = word_ids(tokenizer_path)
         task = TaskContext.get().partitionId()
         used = [0] * longest.bit_length()
         for batch in batches:
@@ -95,7 +120,7 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
             sizes = np.diff(np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1]) \
                 if len(column) else []
             for a, b in slices(sizes, BATCH_BYTES):
-                coded = words.encode([t.split() for t in column[a:b].to_pylist()], end)
+                coded = words.encode(column[a:b].to_pylist(), end)
                 rows = []
                 for i, ids in enumerate(coded):
                     at, raw = 0, ids.tobytes()
