@@ -166,6 +166,7 @@ class Ranges:
 
     def __init__(self, words: Words, ranges: int, hot: int):
         self.words, self.ranges, self.hot = words, ranges, hot
+        self.filled: set[int] = set()  # ranges that hold any bigram
 
     def of(self, u: np.ndarray, v: np.ndarray, uses: np.ndarray) -> np.ndarray:
         span = self.words.total + 1
@@ -239,7 +240,7 @@ def _merge_pairs(folder: str, words: Words):
             sums = [np.add.reduceat(x.astype(np.int64), first) for x in (n, n == 1, n == 2, n >= 3)]
             follower, different = np.unique(v, return_counts=True)
             rows = [*parted(1, u[first], *sums), *parted(2, follower, different.astype(np.int64))]
-            rows.append((0, 3, np.bincount(np.minimum(n, 5), minlength=6)[:5].astype(np.int64).tobytes()))
+            rows.append((0, 3, np.append(np.bincount(np.minimum(n, 5), minlength=6)[:5], shard).astype(np.int64).tobytes()))
             yield from _blobs(rows)
 
     assert span < WIDEST
@@ -251,10 +252,11 @@ def _merge_contexts(folder: str, words: Words):
         for shard, blobs in _by_shard(batches).items():
             size = words.sizes[shard] + (shard == len(words.sizes) - 1)
             sums = {name: np.zeros(size, np.int64) for name in ("uses", "once", "twice", "more", "after")}
-            counts = np.zeros(5, np.int64)
+            counts, filled = np.zeros(5, np.int64), []
             for kind, blob in blobs:
                 if kind == 3:
-                    counts += np.frombuffer(blob, np.int64)
+                    counts += np.frombuffer(blob, np.int64)[:5]
+                    filled.append(int(np.frombuffer(blob, np.int64)[5]))
                     continue
                 names = ("uses", "once", "twice", "more") if kind == 1 else ("after",)
                 n = len(blob) // (8 * (1 + len(names)))
@@ -264,8 +266,9 @@ def _merge_contexts(folder: str, words: Words):
             for name, values in sums.items():
                 save(folder, f"{name}-{shard}", values.astype(np.uint32) if values.max(initial=0) < WIDEST else values)
             after = np.bincount(np.minimum(sums["after"], 5), minlength=6)
-            yield _numbers(shard=[shard], p1=[counts[1]], p2=[counts[2]], p3=[counts[3]], p4=[counts[4]],
+            row = _numbers(shard=[shard], p1=[counts[1]], p2=[counts[2]], p3=[counts[3]], p4=[counts[4]],
                            w1=[after[1]], w2=[after[2]], w3=[after[3]], w4=[after[4]], kinds=[int(sums["after"].sum())])
+            yield row.append_column("filled", pa.array([filled], pa.list_(pa.int64())))
 
     return run
 
@@ -310,7 +313,7 @@ class BigramModel:
         order = np.lexsort((keys, shard))
         cuts = np.searchsorted(shard[order], np.arange(self.ranges.ranges + 1))
         for s, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
-            if b == a:
+            if b == a or s not in self.ranges.filled:
                 continue
             known = self.words.array(f"pair-{s}")
             mine = keys[order[a:b]]
@@ -344,7 +347,9 @@ def train(docs: DataFrame, text_col: str = "text") -> BigramModel:
     pairs = rows.mapInArrow(_count_pairs(words, ranges, ends), BLOBS).repartitionById(shards, F.col("shard"))
     contexts = pairs.mapInArrow(_merge_pairs(folder, words), BLOBS).repartitionById(shards, F.col("shard"))
     names = ["p1", "p2", "p3", "p4", "w1", "w2", "w3", "w4", "kinds"]
-    found = contexts.mapInArrow(_merge_contexts(folder, words), "shard long, " + ", ".join(f"{n} long" for n in names)).collect()
+    found = contexts.mapInArrow(_merge_contexts(folder, words), "shard long, " + ", ".join(f"{n} long" for n in names)
+                                + ", filled array<long>").collect()
+    ranges.filled = {s for r in found for s in r["filled"]}
     total = [sum(r[n] for r in found) for n in names]
     return BigramModel(words, ranges, ends, total[:4], total[4:8], total[8]).seal(total[4:8])
 

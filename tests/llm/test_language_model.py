@@ -61,6 +61,18 @@ def test_against_dictionaries(spark, awkward, frame, prose, hot, monkeypatch):
         assert sum(slow.pair(context, w) for w in slow.count) + slow.pair(context, b"?") == pytest.approx(1)
 
 
+def test_more_ranges_than_words(spark, frame):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        train = frame([(1, "a b a c"), (2, "a a b")])
+        slow = Slow(["a b a c", "a a b"])
+        got = {r.doc_id: r.score for r in lm.score(frame([(5, "b a b z"), (6, None), (7, "c c a b")]), lm.train(train)).collect()}
+        assert got == pytest.approx({5: slow.score("b a b z")[4], 6: slow.score("")[4], 7: slow.score("c c a b")[4]})
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_nothing_to_learn(nothing, awkward):
     model = lm.train(nothing)
     got = lm.score(awkward, model).collect()
