@@ -30,7 +30,9 @@ def statistics(text: Column) -> dict[str, Column]:
     tokens = F.greatest(F.size("_words"), F.lit(1))
     lines = F.split(text, "\n")
     without = lambda pattern: F.length(F.regexp_replace(text, pattern, ""))
-    again = F.size(F.filter("_words", lambda w, i: (i > 0) & (w == F.get(F.col("_words"), i - 1))))
+    rest = F.greatest(F.size("_words") - 1, F.lit(0))
+    pairs = F.zip_with(F.slice("_words", 1, rest), F.slice("_words", 2, rest), lambda a, b: a == b)
+    again = F.size(F.filter(pairs, lambda x: x))
     return {
         "log_words": F.log1p(F.size("_words").cast("double")),
         "word_length": chars / tokens,
@@ -47,10 +49,15 @@ def statistics(text: Column) -> dict[str, Column]:
 
 
 def with_statistics(rows: DataFrame, text: str = "text") -> DataFrame:
-    """``rows`` with one column per statistic; ``_words`` is computed once and dropped."""
+    """``rows`` with one column per statistic.
+
+    The statistics leave an ``explode`` of one struct. The optimizer does not move later filters and expressions below it,
+    where it would repeat every statistic for every rule that names it.
+    """
     worded = rows.withColumn("_words", F.filter(F.split(F.col(text), SPACE), lambda w: w != ""))
-    measured = statistics(F.col(text))
-    return worded.select(*rows.columns, *[c.cast("double").alias(f"_{n}") for n, c in measured.items()])
+    measured = F.struct(*[c.cast("double").alias(n) for n, c in statistics(F.col(text)).items()])
+    once = worded.select(*rows.columns, F.explode(F.array(measured)).alias("_s"))
+    return once.select(*rows.columns, *[F.col(f"_s.{n}").alias(f"_{n}") for n in statistics(F.lit(""))])
 
 
 Rule = tuple[tuple[str, bool, float], ...]
