@@ -7,7 +7,7 @@ reaches the last merge as one row per salt.
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..storage import written
@@ -64,10 +64,13 @@ def mark_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = SALTS) -> DataFrame:
     """``docs`` with one row per distinct text, all its columns unchanged."""
-    keep = equal_texts(docs, id_col, text_col, salts).select(
-        F.col("digest").alias("_digest"), F.col("keep_id").alias("_keep_id"))
+    def named(id_: Column, digest: Column) -> Column:
+        return F.concat(F.coalesce(F.concat(F.lit("="), id_.cast("string")), F.lit("")), F.lit(":"), digest).alias("_keep")
+
+    keep = equal_texts(docs, id_col, text_col, salts).select(named(F.col("keep_id"), F.col("digest")))
     digest = sha256(normalised(F.coalesce(F.col(text_col), F.lit(""))))
-    found = docs.withColumn("_digest", digest).join(keep, "_digest")
-    found = found.filter(F.col(id_col).eqNullSafe(F.col("_keep_id"))).drop("_keep_id")
+    # Id and digest in one key: copies that go match nothing, whole rows move once, and the window reuses the join's order.
+    found = docs.withColumn("_keep", named(F.col(id_col), digest)).join(keep, "_keep")
     # What is left repeats only where rows share id and text; any one of those stays.
-    return found.dropDuplicates(["_digest"]).drop("_digest")
+    one = Window.partitionBy("_keep").orderBy("_keep")
+    return found.withColumn("_n", F.row_number().over(one)).filter("_n = 1").select(*docs.columns)
