@@ -69,19 +69,30 @@ class WordIds:
         pair[:-1, 0] = np.fromiter(map(get, cores), np.int64, len(raw))
         pair[:-1, 1] = np.fromiter(map(get, tails), np.int64, len(raw))
         pair[-1] = (1, 0)
+        # Ids of this part's distinct words in a row, then one lookup per word of the texts.
+        self.flat[0] = end
+        known_first = np.cumsum(self.count) - self.count
+        own = self.flat[_spread(known_first[pair.reshape(-1)], self.count[pair.reshape(-1)])]
+        size = self.count[pair].sum(1)
         local = dict(zip(raw, range(len(raw)), strict=True))
         local[b"\n"] = len(raw)
         for words in documents:
             words.append(b"\n")
-        sizes = np.fromiter(map(len, documents), np.int64, len(documents))
-        index = pair[np.fromiter(map(local.__getitem__, chain.from_iterable(documents)), np.int64, int(sizes.sum()))].reshape(-1)
-        n = self.count[index]
-        first = np.cumsum(self.count) - self.count
-        ends = np.cumsum(n)
-        total = int(ends[-1]) if len(ends) else 0
-        self.flat[0] = end
-        ids = self.flat[np.repeat(first[index] - (ends - n), n) + np.arange(total)]
-        return np.split(ids, ends[2 * np.cumsum(sizes) - 1][:-1]) if len(documents) else []
+        lengths = np.fromiter(map(len, documents), np.int64, len(documents))
+        index = np.fromiter(map(local.__getitem__, chain.from_iterable(documents)), np.int32, int(lengths.sum()))
+        n = size[index]
+        ids = own[_spread((np.cumsum(size) - size)[index], n)]
+        return np.split(ids, np.cumsum(n)[np.cumsum(lengths) - 1][:-1]) if len(documents) else []
+
+
+def _spread(first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The places first, first + 1, ... of each run of n."""
+    total = int(n.sum())
+    kind = np.int32 if total < 1 << 31 else np.int64
+    ends = np.cumsum(n)
+    places = np.repeat((first - (ends - n)).astype(kind), n)
+    places += np.arange(total, dtype=kind)
+    return places
 
 
 _BY_PATH: dict[str, WordIds] = {}
