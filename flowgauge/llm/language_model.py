@@ -21,9 +21,9 @@ from .arrays import ascending, from_ascending, from_planes, load, merge, planes,
 from .common import slices, texts
 
 END = b"\n"
-FLUSH_TOKENS = 3_000_000
-CACHED_WORDS = 500_000
-BATCH_BYTES = 6_000_000
+FLUSH_TOKENS = 2_500_000
+CACHED_WORDS = 300_000
+BATCH_BYTES = 3_000_000
 BLOBS = "shard int, kind int, blob binary"
 WIDEST = 1 << 32
 
