@@ -266,61 +266,73 @@ def _piece_batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
 
 # The transform
 
-def suffix_order(symbols: np.ndarray) -> np.ndarray:
-    """Suffix array by doubling, from eight symbols at once; the last symbol is smaller than all others."""
+def packed(symbols: np.ndarray) -> np.ndarray:
+    """The first eight symbols of each suffix in one number."""
     n = len(symbols)
     padded = np.concatenate([symbols.astype(np.uint64), np.zeros(8, np.uint64)])
-    key = np.zeros(n, np.uint64)
-    for k in range(8):
-        key = key << np.uint64(8) | padded[k:n + k]
-    order = np.argsort(key, kind="stable")
-    width = 8
-    while True:
-        ordered = key[order]
-        new = np.concatenate([[0], np.cumsum(ordered[1:] != ordered[:-1])])
-        rank = np.empty(n, np.int64)
-        rank[order] = new
-        if new[-1] == n - 1:
-            return order
-        after = np.zeros(n, np.int64)
-        after[:n - width] = rank[width:] + 1 if width < n else 0
-        key = rank * (n + 1) + after
-        order = np.argsort(key, kind="stable")
+    key = padded[:n].copy()
+    for k in range(1, 8):
+        key <<= np.uint64(8)
+        key |= padded[k:n + k]
+    return key
+
+
+def suffix_order(symbols: np.ndarray) -> np.ndarray:
+    """Suffix array by doubling, from eight symbols at once; the last symbol is smaller than all others.
+
+    A suffix is ranked by the place where its group starts, so each round only sorts suffixes that still tie.
+    """
+    n = len(symbols)
+    key = packed(symbols)
+    order = np.argsort(key)
+    ordered, place, width = key[order], np.arange(n), 8
+    rank = np.empty(n, np.int64)
+    while len(place):
+        first = np.concatenate([[True], ordered[1:] != ordered[:-1]])
+        start = place[np.nonzero(first)[0]][np.cumsum(first) - 1]
+        rank[order[place]] = start
+        tie = ~first
+        tie[:-1] |= ~first[1:]
+        place = place[tie]
+        suffix = order[place]
+        # Suffixes that tie do not reach the last symbol, so there is one ``width`` further.
+        pair = rank[suffix] * n + rank[suffix + width]
+        by = np.argsort(pair)
+        order[place], ordered = suffix[by], pair[by]
         width *= 2
+    return order
 
 
 def long_common_prefix(symbols: np.ndarray, order: np.ndarray, length: int) -> np.ndarray:
     """True at row r if the suffixes of rows r - 1 and r share at least ``length`` symbols.
 
-    Level by level: a boundary at row b with value l, extended backward by symbol c, lies at the first row of c's suffixes
-    that stem from rows at or after b. If that row has no boundary yet, its value is l + 1. Each row is met once per symbol.
+    Values below eight are read off the packed symbols. From there, level by level: let b be a boundary of value l, and r a row
+    from b up to the next boundary, the first of its symbol there. The suffix one symbol longer, in row LF(r), then shares
+    l + 1 symbols with the row before it, unless a boundary of a smaller value has said so before.
     """
     n = len(symbols)
-    present, dense = np.unique(symbols, return_inverse=True)
-    last = dense[order - 1]
-    size = np.bincount(dense, minlength=len(present))
-    first = np.cumsum(size) - size
-    before = np.zeros((n + 1, len(present)), np.int32)
-    before[np.arange(1, n + 1), last] = 1
-    np.cumsum(before, axis=0, out=before)
-    before += first.astype(np.int32)
-    end = (first + size).astype(np.int32)
-    shared = np.ones(n + 1, bool)
-    shared[first] = False
-    shared[n] = False
-    fresh = first
-    for _ in range(length - 1):
-        found = []
-        for a in range(0, len(fresh), 16_384):
-            rows = before[fresh[a:a + 16_384]]
-            rows = rows[rows < end]
-            rows = rows[shared[rows]]
-            rows = np.unique(rows)
-            shared[rows] = False
-            found.append(rows)
-        fresh = np.concatenate(found)
+    key = packed(symbols)[order]
+    differ = np.concatenate([[NONE], key[1:] ^ key[:-1]])
+    value = sum((differ < np.uint64(1 << (64 - 8 * k))).astype(np.int8) for k in range(1, 8)) + (differ == 0)
+    shared = np.concatenate([value >= min(length, 8), [False]])
+    last = symbols[order - 1]
+    by = np.argsort(last, kind="stable")
+    onward = np.empty(n, np.int64)
+    onward[by] = np.arange(n)
+    earlier = np.empty(n, np.int64)
+    earlier[by] = np.concatenate([[-1], np.where(last[by[1:]] == last[by[:-1]], by[:-1], -1)])
+    fresh = np.nonzero(value == 7)[0]
+    for _ in range(8, length):
         if not len(fresh):
             break
+        bounds = np.nonzero(~shared)[0]
+        size = bounds[np.searchsorted(bounds, fresh, side="right")] - fresh
+        upto = np.cumsum(size)
+        rows = np.repeat(fresh - (upto - size), size) + np.arange(upto[-1])
+        goal = onward[rows]
+        goal = goal[(earlier[rows] < np.repeat(fresh, size)) & shared[goal]]
+        shared[goal] = False
+        fresh = np.unique(goal)
     return shared[:n]
 
 
@@ -332,9 +344,11 @@ def repeated_windows(pieces: list[bytes], counts: np.ndarray, length: int = LENG
     ends = np.cumsum(sizes + 1) - 1
     symbols[ends] = 1
     symbols = np.concatenate([symbols, [np.uint16(0)]])
-    present, dense = np.unique(symbols, return_inverse=True)
-    assert len(present) <= 256, "zero bytes share a symbol with nothing in UTF-8 text"
-    dense = dense.astype(np.uint8)
+    # UTF-8 leaves out enough byte values for the two marks.
+    used = np.zeros(258, bool)
+    used[symbols] = True
+    assert used.sum() <= 256
+    dense = (np.cumsum(used) - 1).astype(np.uint8)[symbols]
     order = suffix_order(dense)
     shared = long_common_prefix(dense, order, length)
     group = np.cumsum(~shared) - 1
