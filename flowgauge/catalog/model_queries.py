@@ -9,9 +9,6 @@ from ..plans import detection, evaluate, training
 from ..schemas import FEATURES, FLOW_META
 from ..storage import written
 
-SMALL_FOREST = {"numTrees": 20, "maxDepth": 5}
-SMALL_BOOST = {"maxIter": 3, "maxDepth": 3}
-
 
 def flows(spark, folder):
     """Embedding flows with addresses and a time, as detection needs them."""
@@ -33,12 +30,12 @@ def table(spark, folder):
 
 def forest(spark, folder):
     rows = table(spark, folder)
-    return evaluate.class_report(models.predictions(models.train_forest(rows, **SMALL_FOREST), rows))
+    return evaluate.class_report(models.predictions(models.train_forest(rows), rows))
 
 
 def boosted(spark, folder):
     rows = table(spark, folder)
-    return evaluate.class_report(models.predictions(models.train_boosted(rows, **SMALL_BOOST), rows))
+    return evaluate.class_report(models.predictions(models.train_boosted(rows), rows))
 
 
 def perceptron(spark, folder):
@@ -48,17 +45,17 @@ def perceptron(spark, folder):
 
 def primary(spark, folder):
     rows = table(spark, folder)
-    name, model = models.train_primary(rows, "forest", **SMALL_FOREST)
+    name, model = models.train_primary(rows)
     return evaluate.metrics(models.predictions(model, rows)).withColumn("model", F.lit(name))
 
 
 def grid(spark, folder):
-    _, scores = models.grid_search(table(spark, folder), {"numTrees": [3, 6], "maxDepth": [2, 3]}, folds=2)
+    _, scores = models.grid_search(table(spark, folder))
     return scores
 
 
 def importance(spark, folder):
-    return models.feature_importance(models.train_forest(table(spark, folder), **SMALL_FOREST), spark)
+    return models.feature_importance(models.train_forest(table(spark, folder)), spark)
 
 
 def stored_model(spark, folder):
@@ -66,7 +63,7 @@ def stored_model(spark, folder):
     from .source_queries import _place
 
     rows, place = table(spark, folder), _place(spark)
-    model = models.train_forest(rows, **SMALL_FOREST)
+    model = models.train_forest(rows)
     models.save_model(model, place)
     again = models.predictions(models.load_best_model(spark, place), rows).groupBy("y", "p").agg(F.count("*").alias("reloaded"))
     first = models.predictions(model, rows).groupBy("y", "p").agg(F.count("*").alias("fitted"))
@@ -76,7 +73,7 @@ def stored_model(spark, folder):
 def classified(spark, folder):
     df = flows(spark, folder)
     scaler = scaling.fit_scaler(df, FEATURES)
-    model = models.train_forest(table(spark, folder), **SMALL_FOREST)
+    model = models.train_forest(table(spark, folder))
     return alerts.classify(df, model, scaler), model, scaler
 
 
@@ -111,7 +108,7 @@ def explained_first(spark, folder):
 def detect(spark, folder):
     df = flows(spark, folder)
     scaler = scaling.fit_scaler(df, FEATURES)
-    model = models.train_forest(table(spark, folder), **SMALL_FOREST)
+    model = models.train_forest(table(spark, folder))
     anomaly = isolation.fit_isolation(scaled(spark, folder).filter("label = 0"), FEATURES, ["vec_id"])
     raised, _ = detection.detect(df, model, scaler, anomaly)
     return raised.select(F.unix_micros("timestamp").alias("us"), *FLOW_META, "attack_type", "confidence", "severity", "anomaly_score",
@@ -186,15 +183,14 @@ def smote_bounds(spark, folder):
 def quick_importance(spark, folder):
     from .table_queries import lab
 
-    return training.quick_importance(lab(spark, folder), views.ROW_KEYS, trees=10, depth=5)
+    return training.quick_importance(lab(spark, folder), views.ROW_KEYS)
 
 
 def training_run(spark, folder):
     """The whole training run over the labelled view."""
     from .table_queries import lab
 
-    run = training.train(lab(spark, folder), views.ROW_KEYS, kind="forest", benign_rows=2000, model_params=SMALL_FOREST, with_anomaly=False)
-    return run.report
+    return training.train(lab(spark, folder), views.ROW_KEYS).report
 
 
 COUNTS = "c AS (SELECT CAST(label % 7 AS INT) AS label, count(*) AS n FROM embeddings GROUP BY 1)"
