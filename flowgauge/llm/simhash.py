@@ -12,12 +12,13 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..storage import written
 from .common import slices, texts
 from .components import with_roots
+from .exact_dedup import sha256
 
 WORDS = 3
 RADIUS = 2
@@ -172,6 +173,12 @@ def close_pairs(prints: DataFrame, radius: int = RADIUS, tile: int = TILE) -> Da
     return work.mapInArrow(_compare(radius), "u long, v long").distinct()
 
 
+def _rooted(prints: DataFrame, radius: int, tile: int) -> DataFrame:
+    """(fp, first_id, _root): each fingerprint with its smallest ``doc_id`` and its component."""
+    vertices = written(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
+    return with_roots(vertices, "fp", close_pairs(vertices.select("fp"), radius, tile), "u", "v")
+
+
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
                 radius: int = RADIUS, tile: int = TILE) -> DataFrame:
     """(doc_id, fingerprint, component_id) for every document.
@@ -181,20 +188,29 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     becomes the smallest unless all are null. Other columns are not read.
     """
     prints = written(fingerprints(docs, id_col, text_col, words))
-    vertices = written(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
-    rooted = written(with_roots(vertices, "fp", close_pairs(vertices.select("fp"), radius, tile), "u", "v"))
+    rooted = written(_rooted(prints, radius, tile))
     smallest = rooted.groupBy("_root").agg(F.min("first_id").alias("component_id"))
     named = rooted.join(smallest, "_root").select("fp", "component_id")
     return prints.join(named, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` with the smallest id of each component; of rows that repeat that id one stays."""
-    found = near_copies(docs, id_col, text_col, **options)
-    named = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("")).alias("_keep")
-    keep = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(named("doc_id")).distinct()
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
+                     radius: int = RADIUS, tile: int = TILE) -> DataFrame:
+    """``docs`` with one row of each component: the smallest id, a null one only where all are null.
+
+    Different texts of a component that share this id are told apart by their digest, the smallest stays; equal ids in
+    different components are different documents. Of rows that repeat id and text one stays.
+    """
+    def named(id_: Column, digest: Column) -> Column:
+        return F.concat(F.coalesce(F.concat(F.lit("="), id_.cast("string")), F.lit("")), F.lit(":"), digest).alias("_keep")
+
+    id_, digest = F.col(id_col), sha256(F.coalesce(F.col(text_col), F.lit("")))
+    ranked = docs.select(F.struct(id_.isNull().alias("none"), id_.alias("id"), digest.alias("digest")).alias("doc_id"),
+                         F.col(text_col).alias("text"))
+    first = _rooted(written(fingerprints(ranked, words=words)), radius, tile).groupBy("_root").agg(F.min("first_id").alias("f"))
+    keep = first.select(named(F.col("f.id"), F.col("f.digest")))
     # Join and window share one partitioning, so texts move once.
     one = Window.partitionBy("_keep").orderBy(text_col)
-    numbered = docs.withColumn("_keep", named(id_col)).join(keep, "_keep").withColumn("_n", F.row_number().over(one))
+    numbered = docs.withColumn("_keep", named(id_, digest)).join(keep, "_keep").withColumn("_n", F.row_number().over(one))
     return numbered.filter("_n = 1").select(*docs.columns)

@@ -69,3 +69,17 @@ def test_drop(awkward, nothing):
     assert left.columns == awkward.columns
     assert sorted((r.doc_id for r in left.collect()), key=repr) == sorted([1, 4, 5, 6, 7, None], key=repr)
     assert simhash.near_copies(nothing).count() == 0 and simhash.drop_near_copies(nothing).count() == 0
+
+
+def test_drop_keeps_one_row_of_each_component(frame, prose):
+    """Null and shared ids name no component: whole components must not go, nor near copies stay."""
+    texts = [prose(60, s) for s in range(9)]
+    near = [t.replace(" ", "\t", 1).upper() for t in texts]
+    rows = [(None, texts[0]), (None, texts[1]), (None, near[1]), (None, texts[2]), (3, near[2]), (None, texts[3]), (None, texts[3]),
+            (7, texts[4]), (7, texts[5]), (7, near[5]), (7, texts[6]), (2, near[6]), (8, texts[7]), (8, texts[7]), (None, None), (9, "")]
+    of = groups([slow_print(t) for _, t in rows])
+    first = {g: min((i for (i, _), h in zip(rows, of, strict=True) if h == g and i is not None), default=None) for g in of}
+    left = [(r.doc_id, r.text) for r in simhash.drop_near_copies(frame(rows)).collect()]
+    kept = [of[rows.index(r)] for r in left]
+    assert sorted(kept) == sorted(first)
+    assert [i for i, _ in left] == [first[g] for g in kept]
