@@ -100,3 +100,24 @@ def test_lookup_with_hot_and_missing_keys(spark, how):
     small = spark.createDataFrame([("hot", 1), ("x", 2), ("q", 3)], "k string, v long")
     plain = sorted(big.join(small, ["k"], how).collect(), key=str)
     assert sorted(lookup(big, small, ["k"], how, rows=2, hot_rows=10).collect(), key=str) == plain
+
+
+def test_query_detects_with_all_parts(spark, monkeypatch):
+    """The registered query trains the published forest and hands the anomaly model to the stream, with explanations."""
+    from flowgauge.catalog import stream_queries
+    from flowgauge.operators import models
+
+    class Called(Exception):
+        pass
+
+    seen = {}
+
+    def streamed(packets, model, scaler, whitelist, policy=None, anomaly=None, explained=False, **_):
+        seen.update(anomaly=anomaly, explained=explained)
+        raise Called
+
+    monkeypatch.setattr(models, "train_forest", lambda df, **params: seen.update(params=params))
+    monkeypatch.setattr(stream_queries.detection, "detect_stream", streamed)
+    with pytest.raises(Called):
+        stream_queries.stream_detect(spark, "/root/testdata/sf0.001")
+    assert seen["params"] == {} and seen["explained"] and len(seen["anomaly"].nodes) > 0
