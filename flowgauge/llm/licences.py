@@ -124,13 +124,13 @@ class Scanner:
         self.ids = {w: i + 1 for i, w in enumerate(vocabulary)}
         self.lengths = [len(words) for words, _ in self.templates]
         self.automaton = SuffixAutomaton([[self.ids[w] for w in words] for words, _ in self.templates])
-        # Whole phrases that end wherever a state's text ends.
-        self.whole = [[(k, self.lengths[k]) for k, end in sorted(places) if k < len(self.phrases) and end == self.lengths[k] - 1]
-                      for places in self.automaton.places]
-        above = self.automaton.link
+        # A phrase ends in the one state of its suffix-link chain that holds its length, and so in all states below that one.
+        above, longest = self.automaton.link, self.automaton.length
         self.ending: list[list[tuple[int, int]]] = [[] for _ in above]
-        for state in sorted(range(1, len(above)), key=self.automaton.length.__getitem__):
-            self.ending[state] = sorted(set(self.whole[state]) | set(self.ending[above[state]]))
+        for state in sorted(range(1, len(above)), key=longest.__getitem__):
+            own = {(k, self.lengths[k]) for k, end in self.automaton.places[state]
+                   if k < len(self.phrases) and end == self.lengths[k] - 1 and longest[above[state]] < self.lengths[k] <= longest[state]}
+            self.ending[state] = sorted(own | set(self.ending[above[state]]))
 
     def scan(self, text: bytes) -> tuple[int, list[tuple[int, int]], list[tuple[int, int, int, int]]]:
         """Number of words, phrase places (phrase, start) and covered spans (template, start, end, words covered)."""

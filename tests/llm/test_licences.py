@@ -18,13 +18,27 @@ def slow_places(words):
 def test_phrase_places_against_plain_search():
     scanner = licences.Scanner(licences.PHRASES, licences.NOTICES)
     rng = np.random.default_rng(3)
-    for _ in range(300):
-        text = b" ".join(rng.choice(WORDS, rng.integers(0, 80)))
+    loose = [b" ".join(rng.choice(WORDS, rng.integers(0, 80))) for _ in range(300)]
+    # Parts of notices one after another: states that several phrases and notices share come up all the time.
+    parts = [" ".join(w[a:b]).encode() for _, t in [*((0, p) for p in licences.PHRASES), *licences.NOTICES] if (w := t.split())
+             for a in range(0, len(w), 3) for b in (a + 2, a + 4, a + 7, len(w))]
+    dense = [b" ".join(rng.choice(parts, rng.integers(1, 8))) for _ in range(1500)]
+    for text in [*loose, *dense]:
         n, places, _ = scanner.scan(text)
         assert n == len(text.split())
         assert sorted([(scanner.templates[k][1], at) for k, at in places], key=lambda x: (x[1], x[0])) == slow_places(text.split())
 
 
+@pytest.mark.parametrize("text, found", [
+    (b"this work is licensed under the gnu general public license version 3", []),
+    (b"licensed under the apache license version 2 0", [("apache-2", 3)]),
+    (b"released under the mit license", [("mit", 1)]),
+])
+def test_words_of_other_licences_are_no_phrase(text, found):
+    scanner = licences.Scanner(licences.PHRASES, licences.NOTICES)
+    assert [(scanner.templates[k][1], at) for k, at in scanner.scan(text)[1]] == found
+
+
 def test_matching_statistics_against_all_substrings():
     rng = np.random.default_rng(4)
     sequences = [rng.integers(1, 4, rng.integers(1, 12)).tolist() for _ in range(6)]
