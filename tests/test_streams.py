@@ -69,7 +69,8 @@ def test_responses(spark, tmp_path):
     rows, now = [], datetime(2024, 5, 1, tzinfo=timezone.utc)
     for i in range(400):
         now += timedelta(seconds=rng.choice([0, 1, 20, 300]))
-        rows.append((i, now, rng.choice("aaabc"), rng.choice(["DDoS", "Bots", "Port Scanning"]), rng.choice(["HIGH", "MEDIUM", "MEDIUM", "LOW", None])))
+        # Ids that a double cannot hold.
+        rows.append(((1 << 60) + i, now, rng.choice("aaabc"), rng.choice(["DDoS", "Bots", "Port Scanning"]), rng.choice(["HIGH", "MEDIUM", "MEDIUM", "LOW", None])))
     path = str(tmp_path / "in")
     in_files(rows, schema, spark, path, 3, 5_000_000, (-1, MARK, "z", "DoS", "LOW"), lambda r: r[1])
     listed = spark.createDataFrame([("c",)], "ip string")
