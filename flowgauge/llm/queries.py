@@ -1,9 +1,11 @@
 """Registered queries of the corpus operators: thin forms with fixed parameters over whole tables."""
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embedding_dedup, exact_dedup, language_model, licences, mixing, packing, quality, repeats, simhash, toxicity
+from . import embedding_dedup, exact_dedup, language_model, licences, lines, mixing, packing, periodic, quality, repeats, simhash, toxicity
 from .common import fold, table
 
 
@@ -104,6 +106,47 @@ def op9_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op11_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = lines.drop_repeated_lines(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+OP11_SQL = r"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+l AS (SELECT doc_id, r, unnest(ls) AS line, generate_subscripts(ls, 1) AS i FROM d),
+k AS (SELECT *, trim(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS key FROM l),
+f AS (SELECT key, min(doc_id) AS first FROM k WHERE length(key) >= 10 GROUP BY key HAVING min(doc_id) != max(doc_id)),
+m AS (SELECT k.*, coalesce(f.first != doc_id, false) AS gone FROM k LEFT JOIN f USING (key))
+SELECT doc_id, count(*) AS n_lines, CAST(sum(CAST(gone AS INT)) AS BIGINT) AS n_dropped,
+    sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM m GROUP BY doc_id, r
+"""
+
+
+def planted(name: str, words: list[bytes]) -> list[bytes]:
+    """The words of one document in ten repeat with a period from some word on, place and period by the id's crc32."""
+    h = zlib.crc32(name.encode())
+    g, n = h // 10, len(words)
+    if h % 10 or not n:
+        return words
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + i % p] for i in range(n - a)]
+
+
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = periodic.find_runs(table(spark, folder, "documents").select("doc_id", "text"), prepare=planted)
+    first = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("least"), r["start"].alias("start"), r["period"].alias("period"))))
+    lines_of = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    best = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), first.alias("b"),
+                        F.sha2(F.array_join(lines_of, "").cast("binary"), 256).alias("runs_sha256"),
+                        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+    return best.select("doc_id", "n_runs", F.col("b.start").alias("start"), (-F.col("b.least")).alias("length"),
+                       F.col("b.period").alias("period"), F.expr("-1000 * b.least div b.period").alias("exponent_milli"),
+                       "runs_sha256", "collapsed_sha256")
+
+
 QUERIES = {
     "op1_mix_sources": (op1_mix_sources, OP1_SQL),
     "op2_lm_scores": (op2_lm_scores, None),
@@ -115,4 +158,6 @@ QUERIES = {
     "op8_toxicity": (op8_toxicity, None),
     "op9_repeated_passages": (op9_repeated_passages, None),
     "op10_simhash": (op10_simhash, None),
+    "op11_line_dedup": (op11_line_dedup, OP11_SQL),
+    "op13_periodic_runs": (op13_periodic_runs, None),
 }
