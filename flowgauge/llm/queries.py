@@ -5,7 +5,7 @@ import zlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embedding_dedup, exact_dedup, language_model, licences, lines, mixing, packing, periodic, quality, repeats, simhash, toxicity
+from . import alignment, embedding_dedup, exact_dedup, language_model, licences, lines, mixing, packing, periodic, quality, repeats, simhash, toxicity
 from .common import fold, table
 
 
@@ -79,10 +79,10 @@ def op6_licence_scan(spark: SparkSession, folder: str) -> DataFrame:
         F.coalesce(cover, F.lit(0.0)).alias("score"))
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def op7_pack_documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -124,6 +124,11 @@ FROM m GROUP BY doc_id, r
 """
 
 
+def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.align_tokens(table(spark, folder, "documents").select("doc_id", "text"),
+                                  tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
 def planted(name: str, words: list[bytes]) -> list[bytes]:
     """The words of one document in ten repeat with a period from some word on, place and period by the id's crc32."""
     h = zlib.crc32(name.encode())
@@ -159,5 +164,6 @@ QUERIES = {
     "op9_repeated_passages": (op9_repeated_passages, None),
     "op10_simhash": (op10_simhash, None),
     "op11_line_dedup": (op11_line_dedup, OP11_SQL),
+    "op12_token_alignment": (op12_token_alignment, None),
     "op13_periodic_runs": (op13_periodic_runs, None),
 }
