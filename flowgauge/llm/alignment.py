@@ -11,16 +11,19 @@ A pair of ids is counted over all texts, so its records leave the tasks that fou
 * Runs are read once more in the same order, beside the arrays of their part: each record gives its text what its pair
   counts, and whether that is the maximum. A run's contributions are added up per text before they leave the task.
 
-Texts are cut before spaces that follow other characters than white space. No token of either tokenizer crosses such a cut (that
-is checked when they are loaded; otherwise texts stay whole), so tokens, groups and links of a stretch are found once and kept with it.
+Texts are cut into stretches that neither tokenizer's tokens cross: before spaces and marks that follow a word, and after a line
+end (the tokenizers are checked for that when they are loaded; otherwise texts stay whole). Tokens, groups and links of a
+stretch are found once and kept, and a text is put together from its stretches by array operations.
 """
 
+import gc
 import hashlib
 import heapq
 import json
 import os
 import re
 from collections.abc import Iterator
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,16 +34,17 @@ from pyspark.sql import functions as F
 
 from ..storage import shared_folder, written
 from .arrays import from_planes, load, planes, save
-from .common import texts
+from .common import slices, texts
 
 PARTS = 16
 BUFFER = 2_000_000
 BLOCK = 1 << 16
 CELL_BYTES = 32_000_000
-CACHED = 400_000
-LONGEST_CACHED = 200
+CACHED = 600_000
+CACHED_CHARS = 30_000_000
 TEXT_BITS = 32
-CUT = re.compile(r"(?<=\S)(?= )")
+STEP_CHARS = 1_000_000
+ODD_SPACE = re.compile(r"\s ")
 
 
 # Tokens
@@ -71,76 +75,167 @@ class Tokenizers:
         pieces = [self.b.id_to_piece(i) for i in range(self.size_b)]
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         self.space = self.b.piece_to_id("▁")
-        # Both must keep to cuts before spaces: A by its pattern, B by pieces that hold no space after another character.
+        self.lead = len(self.b.encode("\n"))
+        self.cut = self._cut(pieces)
+
+    def _cut(self, pieces: list[str]) -> re.Pattern | None:
+        """Where texts may be cut; None where that is not known to be safe.
+
+        A splits by its pattern before all these places. B joins pieces only into longer pieces, so a place is safe if no piece
+        holds the characters on both sides of it; a line end has no piece of its own but bytes.
+        """
         config = json.loads(self.a.to_str())
         first = config["pre_tokenizer"] or {}
         by_pattern = first.get("type") == "ByteLevel" and first.get("use_regex") and not first.get("add_prefix_space")
-        self.cuttable = bool(by_pattern and config["normalizer"] is None and not self.b.is_unknown(self.space)
-                             and all(t["special"] for t in config["added_tokens"]) and not any(re.search(rb"[^ ] ", t) for t in self.bytes_b))
+        plain = config["normalizer"] is None and all(t["special"] for t in config["added_tokens"])
+        whole = "".join(self.bytes_b[i].decode("utf-8", "replace") for i in self.b.encode("a\nb")) == " a\nb"
+        if not (by_pattern and plain and whole) or self.b.is_unknown(self.space) or any(re.search("[^▁]▁|\n", p) for p in pieces):
+            return None
+        close = sorted({(p[i], p[i + 1]) for p in pieces for i in range(len(p) - 1) if p[i].isalnum() and re.match(r"[^\w\s▁]", p[i + 1])})
+        unsafe = "".join(f"(?!(?<={re.escape(x)}){re.escape(y)})" for x, y in close) if len(close) < 200 else "(?!)"
+        return re.compile(rf"(?<=\S)(?= )|(?<=[^\W_])(?=[^\w\s]){unsafe}|(?<=\S\n)(?=[^\W_])")
 
     def encode(self, stretches: list[str]) -> list[tuple[list[int], list[int]]]:
-        """Ids of texts that start with a space, which B adds by itself."""
-        found = self.a.encode_batch(stretches, add_special_tokens=False)
+        """Ids of stretches. B puts a space before a text: that is the first one of a stretch, or a line end follows it and both go."""
+        found = self.a.encode_batch_fast(stretches, add_special_tokens=False)
+        other = self.b.encode([s[1:] if s[0] == " " else "\n" + s for s in stretches], num_threads=1)
         # B gives nothing for an empty text, though the space before it is a piece.
-        other = [[self.space] if s == " " else ids for s, ids in zip(stretches, self.b.encode([s[1:] for s in stretches], num_threads=1), strict=True)]
-        return [(e.ids, ids) for e, ids in zip(found, other, strict=True)]
-
-
-class Stretch:
-    """Tokens, groups and links of a stretch of text."""
-
-    __slots__ = ("right", "n_a", "n_b", "n_groups", "groups", "pairs")
-
-    def __init__(self, text: str, ids: tuple[list[int], list[int]], tokenizers: Tokenizers):
-        a, b = ids
-        raw = text.encode("utf-8", "replace")
-        left, right = [tokenizers.bytes_a[i] for i in a], [tokenizers.bytes_b[i] for i in b]
-        self.right = b"".join(left) == raw == b"".join(right)
-        self.n_a, self.n_b, self.n_groups, self.groups, self.pairs = len(a), len(b), 0, "", []
-        if self.right:
-            self._align(a, b, np.cumsum(list(map(len, left))).tolist(), np.cumsum(list(map(len, right))).tolist(), tokenizers.size_a)
-
-    def _align(self, a: list[int], b: list[int], ends_a: list[int], ends_b: list[int], size_a: int) -> None:
-        groups, i, j, from_a, from_b = [], 0, 0, 0, 0
-        while i < len(a):
-            # Tokens i and j overlap; the one that ends first gives way.
-            self.pairs.append(b[j] * size_a + a[i])
-            if ends_a[i] == ends_b[j]:
-                groups.append(",".join(map(str, a[from_a:i + 1])) + "|" + ",".join(map(str, b[from_b:j + 1])))
-                i, j = i + 1, j + 1
-                from_a, from_b = i, j
-            elif ends_a[i] < ends_b[j]:
-                i += 1
-            else:
-                j += 1
-        self.n_groups, self.groups = len(groups), ";".join(groups)
+        return [(e.ids, [self.space] if s == " " else ids if s[0] == " " else ids[self.lead:]) for s, e, ids in zip(stretches, found, other, strict=True)]
+
+
+def overlaps(a: list[int], b: list[int], ends_a: list[int], ends_b: list[int]) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
+    """Places (i, j) of overlapping tokens, and those after which both end together; the tokens cover the same bytes."""
+    links, ends, i, j = [], [], 0, 0
+    n = len(a)
+    while i < n:
+        links.append((i, j))
+        x, y = ends_a[i], ends_b[j]
+        if x == y:
+            ends.append((i, j))
+            i += 1
+            j += 1
+        elif x < y:
+            i += 1
+        else:
+            j += 1
+    return links, ends
+
+
+class Aligned:
+    """What a list of texts has: numbers per text, the pair of each link in the order of texts, and groups as text."""
+
+    def __init__(self, n_a, n_b, n_groups, n_links, pairs, groups):
+        self.n_a, self.n_b, self.n_groups, self.n_links, self.pairs, self.groups = n_a, n_b, n_groups, n_links, pairs, groups
 
 
 class Aligner:
-    """Aligns whole texts; stretches that come again are looked up. A full cache is emptied, which costs time only."""
+    """Aligns texts from their stretches, each tokenized once. A full cache is emptied, which costs time only."""
 
     def __init__(self, path_a: str, path_b: str):
         self.tokenizers = Tokenizers(path_a, path_b)
-        self.known: dict[str, Stretch] = {}
-
-    def align(self, texts_: list[str]) -> list[list[Stretch]]:
-        """The stretches of each text; none if its tokens do not give back the text."""
-        if len(self.known) > CACHED:
-            self.known = {}
-        cut = [CUT.split(" " + t) if self.tokenizers.cuttable else [" " + t] if t else [] for t in texts_]
-        cut = [s if t else [] for s, t in zip(cut, texts_, strict=True)]
-        fresh = list({s for stretches in cut for s in stretches if s not in self.known})
-        now = {s: Stretch(s, ids, self.tokenizers) for s, ids in zip(fresh, self.tokenizers.encode(fresh), strict=True)}
-        self.known.update((s, found) for s, found in now.items() if len(s) <= LONGEST_CACHED)
-        out = []
-        for text, stretches in zip(texts_, cut, strict=True):
-            found = [self.known.get(s) or now[s] for s in stretches]
-            if not all(f.right for f in found):
-                # What one stretch cannot give back is asked of the whole text, where it may come out.
-                whole = " " + text
-                found = [Stretch(whole, self.tokenizers.encode([whole])[0], self.tokenizers)]
-            out.append(found if all(f.right for f in found) else [])
-        return out
+        self.names_a, self.names_b = list(map(str, range(self.tokenizers.size_a))), list(map(str, range(self.tokenizers.size_b)))
+        self.length_a, self.length_b = list(map(len, self.tokenizers.bytes_a)), list(map(len, self.tokenizers.bytes_b))
+        self._clear()
+
+    def _clear(self) -> None:
+        self.known: dict[str, int] = {}
+        # Words without the space before them; one of several stretches has an entry of its own, put together from theirs.
+        self.words: dict[str, int] = {}
+        self.held = 0
+        self.groups: list[str] = []
+        # Per stretch: tokens give back its text, numbers of A and B tokens, groups and links.
+        self.numbers = np.zeros((0, 5), np.int64)
+        self.flat = np.zeros(0, np.uint64)
+
+    def _learn(self, stretches: set[str]) -> None:
+        fresh = [s for s in stretches if s not in self.known]
+        if not fresh:
+            return
+        tok, size_a = self.tokenizers, self.tokenizers.size_a
+        rows, flat = [], []
+        for text, (a, b) in zip(fresh, tok.encode(fresh), strict=True):
+            raw = text.encode("utf-8", "replace")
+            right = b"".join(map(tok.bytes_a.__getitem__, a)) == raw == b"".join(map(tok.bytes_b.__getitem__, b))
+            if not right:
+                rows.append((0, 0, 0, 0, 0))
+                self.groups.append("")
+                continue
+            links, ends = overlaps(a, b, list(accumulate(map(self.length_a.__getitem__, a))), list(accumulate(map(self.length_b.__getitem__, b))))
+            flat += [b[j] * size_a + a[i] for i, j in links]
+            parts, x, y = [], 0, 0
+            for i, j in ends:
+                parts.append(",".join(map(self.names_a.__getitem__, a[x:i + 1])) + "|" + ",".join(map(self.names_b.__getitem__, b[y:j + 1])))
+                x, y = i + 1, j + 1
+            rows.append((1, len(a), len(b), len(ends), len(links)))
+            self.groups.append(";".join(parts))
+        self.known.update(zip(fresh, range(len(self.numbers), len(self.numbers) + len(fresh)), strict=True))
+        self.held += sum(map(len, fresh))
+        self.numbers = np.concatenate([self.numbers, np.array(rows, np.int64)])
+        self.flat = np.concatenate([self.flat, np.array(flat, np.uint64)])
+
+    def _learn_words(self, words: set[str]) -> None:
+        fresh = [w for w in words if w not in self.words]
+        if not fresh:
+            return
+        cut = [self.tokenizers.cut.split(" " + w) for w in fresh]
+        self._learn(set(chain.from_iterable(cut)))
+        joined, rows, flat, n = [], [], [], len(self.numbers)
+        first = np.cumsum(self.numbers[:, 4]) - self.numbers[:, 4]
+        for word, parts in zip(fresh, cut, strict=True):
+            if len(parts) == 1:
+                self.words[word] = self.known[parts[0]]
+                continue
+            at = [self.known[p] for p in parts]
+            self.words[word] = n + len(joined)
+            joined.append(";".join(map(self.groups.__getitem__, at)))
+            rows.append(at)
+        if rows:
+            index, of = np.array(list(chain.from_iterable(rows))), np.repeat(np.arange(len(rows)), list(map(len, rows)))
+            links = self.numbers[index, 4]
+            flat = self.flat[np.repeat(first[index] - (np.cumsum(links) - links), links) + np.arange(int(links.sum()))]
+            sums = np.stack([np.bincount(of, self.numbers[index, c], minlength=len(rows)) for c in range(5)], 1).astype(np.int64)
+            right = sums[:, 0] == list(map(len, rows))
+            sums[:, 0] = right
+            self.numbers, self.flat = np.concatenate([self.numbers, sums]), np.concatenate([self.flat, flat])
+            self.groups += joined
+        self.held += sum(map(len, fresh))
+
+    def _rows(self, texts_: list[str]) -> list[list[int]]:
+        """The entries that each text is made of."""
+        if self.tokenizers.cut is None:
+            self._learn({" " + t for t in texts_ if t})
+            return [[self.known[" " + t]] if t else [] for t in texts_]
+        # Single spaces between words, the usual case, need no pattern.
+        plain = [bool(t) and ODD_SPACE.search(" " + t) is None for t in texts_]
+        cut = [t.split(" ") if usual else self.tokenizers.cut.split(" " + t) if t else [] for t, usual in zip(texts_, plain, strict=True)]
+        self._learn_words(set(chain.from_iterable(c for c, usual in zip(cut, plain, strict=True) if usual)))
+        self._learn(set(chain.from_iterable(c for c, usual in zip(cut, plain, strict=True) if not usual)))
+        of_word, of_stretch = self.words.__getitem__, self.known.__getitem__
+        return [list(map(of_word if usual else of_stretch, c)) for c, usual in zip(cut, plain, strict=True)]
+
+    def align(self, texts_: list[str]) -> Aligned:
+        if len(self.numbers) > CACHED or self.held > CACHED_CHARS:
+            self._clear()
+        rows = self._rows(texts_)
+        # What is kept need not be looked through again by the garbage collector.
+        gc.freeze()
+        index = np.fromiter(chain.from_iterable(rows), np.int64, sum(map(len, rows)))
+        of = np.repeat(np.arange(len(rows)), list(map(len, rows)))
+        wrong = np.unique(of[self.numbers[index, 0] == 0]).tolist()
+        if wrong:
+            # What one stretch cannot give back is asked of the whole text, where it may come out.
+            self._learn({" " + texts_[i] for i in wrong})
+            for i in wrong:
+                k = self.known[" " + texts_[i]]
+                rows[i] = [k] if self.numbers[k, 0] else []
+            index = np.fromiter(chain.from_iterable(rows), np.int64, sum(map(len, rows)))
+            of = np.repeat(np.arange(len(rows)), list(map(len, rows)))
+        sums = np.stack([np.bincount(of, self.numbers[index, c], minlength=len(rows)) for c in range(1, 5)]).astype(np.int64)
+        links = self.numbers[index, 4]
+        first = (np.cumsum(self.numbers[:, 4]) - self.numbers[:, 4])[index]
+        pairs = self.flat[np.repeat(first - (np.cumsum(links) - links), links) + np.arange(int(links.sum()))]
+        group = self.groups.__getitem__
+        return Aligned(*sums, pairs, [";".join(map(group, row)) for row in rows])
 
 
 _BY_PATHS: dict[tuple[str, str], Aligner] = {}
@@ -222,7 +317,7 @@ def _spill(path_a: str, path_b: str, parts: int, buffer: int, kind, with_groups:
 
         def flush():
             nonlocal held, base, count
-            if held:
+            if count:
                 keys = np.sort(np.concatenate(held))
                 first = np.nonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))[0]
                 n, keys = np.diff(np.append(first, len(keys))), keys[first]
@@ -240,25 +335,20 @@ def _spill(path_a: str, path_b: str, parts: int, buffer: int, kind, with_groups:
 
         for batch in batches:
             raw = batch.column(1)
-            for at in range(0, len(raw), 256):
-                part = raw[at:at + 256].to_pylist()
-                rows = []
-                for found in align.align(part):
-                    groups = ";".join(f.groups for f in found)
-                    pairs = [p for f in found for p in f.pairs]
-                    rows.append((task + done, sum(f.n_a for f in found), sum(f.n_b for f in found), sum(f.n_groups for f in found), len(pairs),
-                                 hashlib.sha256(groups.encode()).hexdigest() if found else "", groups))
-                    if pairs:
-                        held.append(np.array(pairs, np.uint64) << np.uint64(TEXT_BITS) | np.uint64(done - base))
-                        count += len(pairs)
-                    done += 1
-                    if count >= buffer:
-                        yield from flush()
-                columns = list(zip(*rows, strict=True))
-                empty = len(rows)
-                out = [batch.column(0).slice(at, empty), *(pa.array(c, pa.int64()) for c in columns[:5]), pa.array(columns[5], pa.string()),
-                       pa.nulls(empty, pa.int32()), pa.nulls(empty, pa.int64()), pa.nulls(empty, pa.int64()), pa.nulls(empty, pa.list_(pa.binary()))]
-                yield pa.RecordBatch.from_arrays(out + ([pa.array(columns[6], pa.string())] if with_groups else []), names=fields)
+            sizes = np.diff(np.frombuffer(raw.buffers()[1], np.int32)[raw.offset:raw.offset + len(raw) + 1]) if len(raw) else []
+            for at, end in slices(sizes, STEP_CHARS):
+                found = align.align(raw[at:end].to_pylist())
+                n = end - at
+                digests = [hashlib.sha256(g.encode()).hexdigest() if g else "" for g in found.groups]
+                out = [batch.column(0).slice(at, n), pa.array(task + done + np.arange(n)), *(pa.array(c) for c in (found.n_a, found.n_b, found.n_groups, found.n_links)),
+                       pa.array(digests, pa.string()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.list_(pa.binary()))]
+                yield pa.RecordBatch.from_arrays(out + ([pa.array(found.groups, pa.string())] if with_groups else []), names=fields)
+                of = np.repeat(np.arange(done - base, done - base + n, dtype=np.uint64), found.n_links)
+                held.append(found.pairs << np.uint64(TEXT_BITS) | of)
+                count += len(found.pairs)
+                done += n
+                if count >= buffer:
+                    yield from flush()
         yield from flush()
 
     return run
