@@ -1,12 +1,14 @@
-"""Models trained on the embedding view, and what is computed from them."""
+"""Models trained on the embedding view and on a separable one, and what is computed from them."""
+
+import itertools
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from .. import views
-from ..operators import alerts, explain, isolation, models, oversampling, scaling
+from ..operators import alerts, cleaning, explain, isolation, models, oversampling, scaling
 from ..plans import detection, evaluate, training
-from ..schemas import FEATURES, FLOW_META
+from ..schemas import CLASS_IDS, FEATURES, FLOW_META, LABEL
 from ..storage import written
 
 
@@ -64,7 +66,7 @@ def stored_model(spark, folder):
 
     rows, place = table(spark, folder), _place(spark)
     model = models.train_forest(rows)
-    models.save_model(model, place)
+    models.save_model(model, place, spark)
     again = models.predictions(models.load_best_model(spark, place), rows).groupBy("y", "p").agg(F.count("*").alias("reloaded"))
     first = models.predictions(model, rows).groupBy("y", "p").agg(F.count("*").alias("fitted"))
     return first.join(again, ["y", "p"], "full")
@@ -123,7 +125,7 @@ def stored_model_same(spark, folder):
     table = models.assembled(rows)
     keyed = rows.select("vec_id", models.assembled_vector(FEATURES).alias("features"), F.col("label").cast("double").alias("label"))
     model = models.train_forest(table)
-    models.save_model(model, place)
+    models.save_model(model, place, spark)
 
     def shown(m, name):
         return m.transform(keyed).select("vec_id", F.struct("prediction", vector_to_array("probability").alias("p")).alias(name))
@@ -180,6 +182,80 @@ def smote_bounds(spark, folder):
     return wide.select("label", inside.alias("inside"))
 
 
+def told(spark, folder):
+    """The separable view as a scaled training table."""
+    rows = cleaning.encode_labels(views.separable(spark, folder))
+    return models.assembled(scaling.scale_clip(rows, scaling.fit_scaler(rows, FEATURES)), label=LABEL)
+
+
+def told_apart(train):
+    """Rows per true and predicted class of a model trained on the separable view."""
+    def run(spark, folder):
+        rows = told(spark, folder)
+        return models.predictions(train(rows), rows).groupBy("y", "p").agg(F.count("*").alias("n"))
+
+    return run
+
+
+def boosted_reload(spark, folder):
+    """A boosted model stored beside a forest is the one that loads; rows whose probabilities differ from the fitted model's."""
+    from .source_queries import _place
+
+    rows, place = written(told(spark, folder).withColumn("i", F.xxhash64(vector_to_array("features"), "label"))), _place(spark)
+    model = models.train_boosted(rows)
+    models.save_model(model, place, spark)
+    models.save_model(models.train_forest(rows), place, spark)
+    again = models.load_best_model(spark, place)
+
+    def shown(m, name):
+        return m.transform(rows).select("i", F.struct("prediction", vector_to_array("probability").alias("p")).alias(name))
+
+    both = shown(model, "fitted").join(shown(again, "reloaded"), "i")
+    return both.agg(F.lit(again.kind).alias("kind"), F.count("*").alias("n"), F.count_if(~F.col("fitted").eqNullSafe(F.col("reloaded"))).alias("differ"))
+
+
+def boosted_loss(spark, folder):
+    """Rounds of boosting, and how many of them did not lower the log loss."""
+    history = models.train_boosted(told(spark, folder)).history
+    rises = sum(b > a for a, b in itertools.pairwise(history))
+    return table_of(spark, folder, "customer").agg(F.lit(len(history)).alias("rounds"), F.lit(rises).alias("rises"), F.count("*").alias("n"))
+
+
+def table_of(spark, folder, name):
+    return views.table(spark, folder, name)
+
+
+def grid_told(spark, folder):
+    _, scores = models.grid_search(told(spark, folder))
+    return scores.select("trees", F.coalesce("depth", F.lit(0)).alias("depth"), "min_split", "macro_f1")
+
+
+def telling_features(train):
+    """The five most important features of a model trained on the separable view."""
+    def run(spark, folder):
+        return models.feature_importance(train(told(spark, folder)), spark).limit(5).select("feature")
+
+    return run
+
+
+def primary_told(spark, folder):
+    rows = told(spark, folder)
+    name, model = models.train_primary(rows)
+    return evaluate.metrics(models.predictions(model, rows)).select(F.lit(name).alias("model"), "accuracy", "macro_f1")
+
+
+def compared(spark, folder):
+    """The published run with all three models, on the separable view: whether each tells the held-out rows apart."""
+    run = training.train(views.separable(spark, folder), ["c_custkey"], compare=True)
+    return run.extra["comparison"].select("model", (F.col("accuracy") > 0.98).alias("accurate"), (F.col("macro_f1") > 0.98).alias("balanced"))
+
+
+def tuned(spark, folder):
+    """The published run with the grid search, on the separable view."""
+    run = training.train(views.separable(spark, folder), ["c_custkey"], tune=True, with_anomaly=False)
+    return run.metrics.select(F.lit(run.name).alias("model"), F.lit(run.extra["grid"].count()).alias("settings"), "accuracy", "macro_f1")
+
+
 def quick_importance(spark, folder):
     from .table_queries import lab
 
@@ -193,6 +269,10 @@ def training_run(spark, folder):
     return training.train(lab(spark, folder), views.ROW_KEYS).report
 
 
+TOLD = f"""t AS (SELECT CAST(CASE c_mktsegment {' '.join(f"WHEN '{a}' THEN {CLASS_IDS[b]}" for a, b in views.SEGMENTS.items())} END AS INT) AS c
+  FROM customer WHERE c_mktsegment IN ({', '.join(f"'{a}'" for a in views.SEGMENTS)}))"""
+TOLD_APART = f"WITH {TOLD} SELECT c AS y, c AS p, count(*) AS n FROM t GROUP BY c"
+TELLING = "SELECT * FROM (VALUES " + ", ".join(f"('{f}')" for f in FEATURES[:5]) + ") v(feature) WHERE EXISTS (SELECT 1 FROM customer)"
 COUNTS = "c AS (SELECT CAST(label % 7 AS INT) AS label, count(*) AS n FROM embeddings GROUP BY 1)"
 QUERIES = {
     "forest": (forest, None),
@@ -218,4 +298,17 @@ QUERIES = {
     "smote_bounds": (smote_bounds, "SELECT DISTINCT CAST(label % 7 AS INT) AS label, true AS inside FROM embeddings"),
     "quick_importance": (quick_importance, None),
     "training_run": (training_run, None),
+    "forest_told": (told_apart(lambda rows: models.train_forest(rows)), TOLD_APART),
+    "boosted_told": (told_apart(lambda rows: models.train_boosted(rows)), TOLD_APART),
+    "perceptron_told": (told_apart(lambda rows: models.train_mlp(rows)), TOLD_APART),
+    "primary_told": (primary_told, f"WITH {TOLD} SELECT 'boosted' AS model, 1.0 AS accuracy, 1.0 AS macro_f1 FROM t LIMIT 1"),
+    "boosted_loss": (boosted_loss, "SELECT 300 AS rounds, 0 AS rises, count(*) AS n FROM customer"),
+    "boosted_reload": (boosted_reload, f"WITH {TOLD} SELECT 'boosted' AS kind, count(*) AS n, 0 AS differ FROM t"),
+    "forest_telling_features": (telling_features(lambda rows: models.train_forest(rows)), TELLING),
+    "boosted_telling_features": (telling_features(lambda rows: models.train_boosted(rows)), TELLING),
+    "grid_told": (grid_told, """SELECT trees, depth, min_split, 1.0 AS macro_f1 FROM (VALUES (100), (200)) a(trees), (VALUES (20), (30), (0)) b(depth),
+       (VALUES (2), (5)) c(min_split) WHERE EXISTS (SELECT 1 FROM customer)"""),
+    "training_compared": (compared, """SELECT model, true AS accurate, true AS balanced FROM (VALUES ('boosted'), ('forest'), ('perceptron')) v(model)
+       WHERE EXISTS (SELECT 1 FROM customer)"""),
+    "training_tuned": (tuned, "SELECT 'forest (tuned)' AS model, 12 AS settings, 1.0 AS accuracy, 1.0 AS macro_f1 FROM customer LIMIT 1"),
 }

@@ -3,36 +3,29 @@
 import itertools
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.ml import Transformer
-from pyspark.ml.classification import (
-    GBTClassificationModel, GBTClassifier, MultilayerPerceptronClassificationModel, MultilayerPerceptronClassifier,
-    RandomForestClassificationModel, RandomForestClassifier,
-)
-from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.evaluate import metrics
 from ..schemas import FEATURES
 from ..sources.artifacts import exists, require
+from ..storage import written
 from .cleaning import quoted
-from .scaling import fit_scaler, with_weights
+from .perceptron import PerceptronModel, train_perceptron
+from .scaling import fit_scaler
+from .trees import Boosting, Forest, TreeModel, boost, grow_forest
 
 # ---------------------------------------------------------------------------
-# Model parameters and the search grid. MLlib refuses trees
-# deeper than 30, which stands for "no limit" in the grid.
+# Model parameters and the search grid. A depth of None has no limit.
 # ---------------------------------------------------------------------------
-FOREST = {"numTrees": 200, "maxDepth": 30, "minInstancesPerNode": 1, "seed": 42}
+FOREST = {"trees": 200, "depth": 30, "min_split": 2, "seed": 42}
 QUICK_TREES = 50
-BOOSTED = {"maxIter": 300, "maxDepth": 6, "stepSize": 0.1, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8", "seed": 42}
-PERCEPTRON_LAYERS = [128, 64]
-PERCEPTRON_ITERATIONS = 50
-GRID = {"numTrees": [100, 200], "maxDepth": [20, 30, 30], "minInstancesPerNode": [1, 2]}
+QUICK_DEPTH = 30
+BOOSTED = {"rounds": 300, "depth": 6, "rate": 0.1, "rows": 0.8, "columns": 0.8, "seed": 42}
+GRID = {"trees": [100, 200], "depth": [20, 30, None], "min_split": [2, 5]}
 FOLDS = 3
-DEEPEST = 30
 
 FOREST_DIR = "forest"
 BOOSTED_DIR = "boosted"
@@ -51,68 +44,19 @@ def assembled(df: DataFrame, columns: list[str] = FEATURES, label: str = "label"
     return VectorAssembler(inputCols=[f"c{i}" for i in range(len(columns))], outputCol="features").transform(slim).select("features", "label")
 
 
-def train_forest(df: DataFrame, balanced: bool = True, **params) -> RandomForestClassificationModel:
+def train_forest(df: DataFrame, balanced: bool = True, **params) -> TreeModel:
     """A random forest over (features, label); class weights balance the classes."""
-    weighted = with_weights(df, "label") if balanced else df.withColumn("weight", F.lit(1.0))
-    return RandomForestClassifier(**{**FOREST, **params}, weightCol="weight").fit(weighted)
-
-
-class BoostedModel(Transformer):
-    """One boosted binary model per class; probabilities are normalised over classes."""
-
-    def __init__(self, models: dict):
-        super().__init__()
-        self.models = dict(sorted(models.items()))
-        self.classes = list(self.models)
-
-    def _transform(self, df: DataFrame) -> DataFrame:
-        out = df
-        for c, model in self.models.items():
-            shown = model.copy()
-            shown.setPredictionCol(f"_p{c}").setRawPredictionCol(f"_r{c}").setProbabilityCol(f"_q{c}")
-            out = shown.transform(out).drop(f"_p{c}", f"_r{c}")
-        each = F.array(*[vector_to_array(f"_q{c}")[1] for c in self.classes])
-        total = F.aggregate(each, F.lit(0.0), lambda a, b: a + b)
-        shares = F.transform(each, lambda v: F.when(total > 0, v / total).otherwise(F.lit(1.0 / len(self.classes))))
-        out = out.withColumn("probability", array_to_vector(shares)).drop(*[f"_q{c}" for c in self.classes])
-        place = F.array_position(vector_to_array("probability"), F.array_max(vector_to_array("probability"))).cast("int")
-        return out.withColumn("prediction", F.element_at(F.array(*[F.lit(float(c)) for c in self.classes]), place))
-
-    @property
-    def featureImportances(self):
-        vectors = [m.featureImportances.toArray() for m in self.models.values()]
-        return sum(vectors) / len(vectors)
-
-    def save(self, path: str) -> None:
-        for c, model in self.models.items():
-            model.write().overwrite().save(f"{path}/class_{c}")
-
-    @staticmethod
-    def load(spark: SparkSession, path: str) -> "BoostedModel":
-        require(spark, path, "boosted model")
-        names = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/class_*")
-        found = names.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(names)
-        ids = sorted(int(s.getPath().getName().split("_")[1]) for s in found)
-        return BoostedModel({c: GBTClassificationModel.load(f"{path}/class_{c}") for c in ids})
-
-
-def train_boosted(df: DataFrame, parallelism: int = 4, **params) -> BoostedModel:
-    """Boosted trees, one class against the rest, a few classes at a time."""
-    classes = sorted(int(r[0]) for r in df.select("label").distinct().collect())
-
-    def one(c: int) -> GBTClassificationModel:
-        binary = df.withColumn("label", (F.col("label") == c).cast("double"))
-        return GBTClassifier(**{**BOOSTED, **params}).fit(binary)
+    return grow_forest(df, Forest(**{**FOREST, **params}), balanced)
 
-    with ThreadPoolExecutor(parallelism) as pool:
-        return BoostedModel(dict(zip(classes, pool.map(one, classes))))
+
+def train_boosted(df: DataFrame, **params) -> TreeModel:
+    """Softmax-boosted trees over (features, label)."""
+    return boost(df, Boosting(**{**BOOSTED, **params}))
 
 
-def train_mlp(df: DataFrame, hidden: list[int] = PERCEPTRON_LAYERS, iterations: int = PERCEPTRON_ITERATIONS,
-              seed: int = 42) -> MultilayerPerceptronClassificationModel:
-    width = len(df.first()["features"])
-    classes = int(df.agg(F.max("label")).first()[0]) + 1
-    return MultilayerPerceptronClassifier(layers=[width, *hidden, classes], maxIter=iterations, seed=seed).fit(df)
+def train_mlp(df: DataFrame, **params) -> PerceptronModel:
+    """A perceptron that stops when a held-out tenth is no longer predicted better."""
+    return train_perceptron(df, **params)
 
 
 def train_primary(df: DataFrame, kind: str = "boosted", **params):
@@ -129,34 +73,40 @@ def predictions(model, df: DataFrame) -> DataFrame:
                          vector_to_array("probability").alias("scores"))
 
 
-class MacroF1(Evaluator):
-    """Mean F1 over classes seen in truth or prediction."""
-
-    def _evaluate(self, dataset: DataFrame) -> float:
-        pairs = dataset.select(F.col("label").cast("int").alias("y"), F.col("prediction").cast("int").alias("p"))
-        return metrics(pairs).first()["macro_f1"]
-
-    def isLargerBetter(self) -> bool:
-        return True
+def with_folds(df: DataFrame, folds: int = FOLDS, seed: int = 42) -> DataFrame:
+    """Add ``fold`` by a hash of the row; equal rows share a fold."""
+    return df.withColumn("fold", F.pmod(F.xxhash64(F.lit(seed), vector_to_array("features"), "label"), F.lit(folds)).cast("int"))
 
 
 def grid_search(df: DataFrame, grid: dict | None = None, folds: int = FOLDS, parallelism: int = 4, seed: int = 42):
-    """(best model, table of parameters and macro F1) by cross-validation over balanced forests."""
+    """(best model, table of parameters and macro F1) by cross-validation over balanced forests.
+
+    Trees of a forest do not depend on how many there are, so settings that differ in ``trees`` alone share their growth: the
+    largest is grown and the others are its first trees. Of equal scores the first setting wins.
+    """
     grid = grid or GRID
-    weighted = with_weights(df, "label").cache()
-    forest = RandomForestClassifier(seed=seed, weightCol="weight")
-    builder = ParamGridBuilder()
-    for name, values in grid.items():
-        # Two settings that mean the same tree limit are tried once.
-        builder = builder.addGrid(forest.getParam(name), list(dict.fromkeys(min(v, DEEPEST) if name == "maxDepth" else v for v in values)))
-    maps = builder.build()
-    search = CrossValidator(estimator=forest, estimatorParamMaps=maps, evaluator=MacroF1(), numFolds=folds,
-                            parallelism=parallelism, seed=seed)
-    fitted = search.fit(weighted)
-    weighted.unpersist()
-    rows = [(*[p[forest.getParam(name)] for name in grid], float(score)) for p, score in zip(maps, fitted.avgMetrics)]
-    table = df.sparkSession.createDataFrame(rows, [*grid, "macro_f1"])
-    return fitted.bestModel, table.orderBy(F.col("macro_f1").desc())
+    points = grid_points(grid)
+    rows = written(with_folds(df, folds, seed))
+    shapes = list(dict.fromkeys(tuple((k, v) for k, v in p.items() if k != "trees") for p in points))
+    most = max(p.get("trees", FOREST["trees"]) for p in points)
+
+    def scores(shape: tuple, fold: int) -> dict[tuple, float]:
+        model = train_forest(rows.filter(F.col("fold") != fold), **dict(shape), trees=most, seed=seed)
+        held = rows.filter(F.col("fold") == fold)
+        counts = sorted({p.get("trees", FOREST["trees"]) for p in points})
+        return {(shape, n): metrics(predictions(model.first(n), held)).first()["macro_f1"] for n in counts}
+
+    with ThreadPoolExecutor(parallelism) as pool:
+        found = list(pool.map(lambda unit: scores(*unit), itertools.product(shapes, range(folds))))
+    results = []
+    for p in points:
+        key = tuple((k, v) for k, v in p.items() if k != "trees"), p.get("trees", FOREST["trees"])
+        values = [f[key] for f in found if key in f]
+        results.append((*p.values(), sum(values) / len(values)))
+    best = max(range(len(points)), key=lambda i: results[i][-1])
+    kinds = ", ".join(f"{name} int" for name in grid) + ", macro_f1 double"
+    table = df.sparkSession.createDataFrame(results, kinds)
+    return train_forest(df, **points[best], seed=seed), table.orderBy(F.col("macro_f1").desc(), *grid)
 
 
 def feature_importance(model, spark: SparkSession, names: list[str] = FEATURES) -> DataFrame:
@@ -169,23 +119,16 @@ def feature_importance(model, spark: SparkSession, names: list[str] = FEATURES)
     return spark.createDataFrame(rows, "feature string, importance double").orderBy(F.col("importance").desc(), "feature")
 
 
-def save_model(model, folder: str, tuned: bool = False) -> str:
+def save_model(model: TreeModel, folder: str, spark: SparkSession, tuned: bool = False) -> str:
     """Store a model under its kind; returns the path."""
-    if isinstance(model, BoostedModel):
-        path = f"{folder}/{BOOSTED_DIR}"
-        model.save(path)
-        return path
-    path = f"{folder}/{TUNED_DIR if tuned else FOREST_DIR}"
-    model.write().overwrite().save(path)
+    path = f"{folder}/{BOOSTED_DIR if model.kind == 'boosted' else TUNED_DIR if tuned else FOREST_DIR}"
+    model.save(spark, path)
     return path
 
 
-def load_model(spark: SparkSession, path: str):
-    """A stored model by path; boosted models are folders of classes."""
-    require(spark, path, "model")
-    if exists(spark, f"{path}/class_*"):
-        return BoostedModel.load(spark, path)
-    return RandomForestClassificationModel.load(path)
+def load_model(spark: SparkSession, path: str) -> TreeModel:
+    """A stored model by path."""
+    return TreeModel.load(spark, require(spark, path, "model"))
 
 
 def load_best_model(spark: SparkSession, folder: str):

@@ -72,7 +72,7 @@ def train(flows: DataFrame, order: list[str], kind: str = "boosted", chronologic
         benign = fit_rows.filter(F.col(f"`{LABEL}`") == CLASS_IDS[BENIGN])
         anomaly = isolation.fit_isolation(benign, FEATURES, order)
     if folder:
-        models.save_model(model, folder, tuned=tune)
+        models.save_model(model, folder, spark, tuned=tune)
         scaler.save(spark, f"{folder}/scaler")
         if anomaly is not None:
             anomaly.save(spark, f"{folder}/anomaly")
@@ -84,10 +84,10 @@ def train(flows: DataFrame, order: list[str], kind: str = "boosted", chronologic
                evaluate.auc_per_class(scored), importance, extra)
 
 
-def quick_importance(flows: DataFrame, key: list[str], fraction: float = 0.10, trees: int = models.QUICK_TREES, depth: int = models.DEEPEST) -> DataFrame:
+def quick_importance(flows: DataFrame, key: list[str], fraction: float = 0.10, trees: int = models.QUICK_TREES, depth: int = models.QUICK_DEPTH) -> DataFrame:
     """Feature importance from a small forest over a sample with medians filled in."""
     some = sampling.sample_fraction(flows, fraction, key)
     filled = sampling.impute_median(some, [c for c in FEATURES if c in some.columns])
     labelled = cleaning.coerce_label(filled)
-    model = models.train_forest(models.assembled(labelled, label=LABEL), balanced=False, numTrees=trees, maxDepth=depth)
+    model = models.train_forest(models.assembled(labelled, label=LABEL), balanced=False, trees=trees, depth=depth)
     return models.feature_importance(model, flows.sparkSession)

@@ -21,6 +21,18 @@ def open_file(path: str):
     return system.open_input_file(name)
 
 
+def write_file(spark: SparkSession, path: str, content: bytes) -> str:
+    """A small file written by the driver; returns its full URI, which ``open_file`` takes in any task."""
+    found = _path(spark, path)
+    system = found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = system.create(found, True)
+    try:
+        out.write(content)
+    finally:
+        out.close()
+    return system.makeQualified(found).toString()
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """True when the path, or a match of the glob, is there."""
     found = _path(spark, path)

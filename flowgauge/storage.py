@@ -28,12 +28,22 @@ def shared_folder(spark: SparkSession) -> str:
     return _LOCAL[context.applicationId]
 
 
+def stored_at(df: DataFrame) -> str:
+    """Write ``df`` under a new name in the shared folder and return the path."""
+    path = f"{shared_folder(df.sparkSession).rstrip('/')}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return path
+
+
 def written(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends here."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(stored_at(df))
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove an intermediate table that nothing reads any more."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def fits(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:

@@ -238,3 +238,19 @@ def embedding_flows(spark: SparkSession, folder: str) -> DataFrame:
 
     wide = [folded(i).alias(name) for i, name in enumerate(FEATURES)]
     return table(spark, folder, "embeddings").select("vec_id", *wide, (F.col("label") % 7).cast("int").alias("label"))
+
+
+SEGMENTS = {"AUTOMOBILE": "Normal Traffic", "BUILDING": "DoS", "FURNITURE": "DDoS", "HOUSEHOLD": "Bots", "MACHINERY": "Port Scanning"}
+CLASS_OF_CUSTOMER = "case c_mktsegment " + " ".join(f"when '{a}' then '{b}'" for a, b in SEGMENTS.items()) + " else 'Mystery' end"
+
+
+def separable(spark: SparkSession, folder: str) -> DataFrame:
+    """``customer`` as flows whose class five of the features tell: one is near 10 for its market segment, near 0 for others.
+
+    The other fifteen features have nothing to do with the class.
+    """
+    telling = [F.when(F.col("c_mktsegment") == s, 10.0).otherwise(0.0) + (F.col("c_custkey") % (3 + i)) / 10.0 for i, s in enumerate(SEGMENTS)]
+    noise = [F.col("c_acctbal"), F.col("c_nationkey").cast("double"),
+             *[(F.pmod(F.xxhash64("c_custkey", F.lit(i)), F.lit(1000))).cast("double") for i in range(13)]]
+    return table(spark, folder, "customer").select(
+        "c_custkey", *[c.alias(n) for c, n in zip([*telling, *noise], FEATURES, strict=True)], F.expr(CLASS_OF_CUSTOMER).alias("Attack Type"))

@@ -24,12 +24,12 @@ def small(spark):
 
 @pytest.fixture(scope="module")
 def forest(small):
-    return models.train_forest(models.assembled(small, NAMES), numTrees=3, maxDepth=3)
+    return models.train_forest(models.assembled(small, NAMES), trees=3, depth=3)
 
 
 @pytest.fixture(scope="module")
 def boosted(small):
-    return models.train_boosted(models.assembled(small, NAMES), maxIter=2, maxDepth=2)
+    return models.train_boosted(models.assembled(small, NAMES), rounds=2, depth=2)
 
 
 def expected(nodes, x, known):
@@ -60,32 +60,57 @@ def brute_force(trees, x):
     return phi
 
 
-def plain_trees(spark, stored, value):
-    out = []
-    for tree, rows in stored.groupby("tree"):
-        out.append({int(r.node): (int(r.left), int(r.right), int(r.feature), r.threshold, *value(int(tree), r)) for r in rows.itertuples()})
+def plain_trees(model, k):
+    """Nodes of every tree as tuples, valued for class ``k``."""
+    out, roots = [], [*model.roots.tolist(), len(model.tree)]
+    for t, (a, b) in enumerate(zip(roots, roots[1:])):
+        def worth(i):
+            if model.kind == "forest":
+                return model.value[i, k] / model.n_trees
+            return model.value[i, 0] if model.output[t] == k else 0.0
+        out.append({i - a: (model.left[i] - a if model.left[i] >= 0 else -1, model.right[i] - a, model.feature[i], model.threshold[i],
+                            worth(i), model.cover[i]) for i in range(a, b)})
     return out
 
 
-def test_forest_contributions_equal_brute_force(spark, small, forest):
-    leaves, classes = explain.ensemble_leaves(spark, forest)
+@pytest.mark.parametrize("kind", ["forest", "boosted"])
+def test_contributions_equal_brute_force(small, forest, boosted, kind):
+    model = {"forest": forest, "boosted": boosted}[kind]
+    leaves = explain.leaves_of(model, 0, model.n_trees)
     x = np.array([[r.a, r.b, r.c] for r in small.limit(8).collect()])
-    stored = explain._stored_nodes(spark, forest)
-    for k in classes:
-        trees = plain_trees(spark, stored, lambda t, r: (r.stats[k] / sum(r.stats) / 3, sum(r.stats)))
+    for k in model.classes:
         got = explain.contributions(x, leaves, np.full(len(x), k))
-        assert np.allclose(got, [brute_force(trees, row) for row in x])
-
-
-def test_boosted_contributions_equal_brute_force(spark, small, boosted):
-    leaves, classes = explain.ensemble_leaves(spark, boosted)
-    x = np.array([[r.a, r.b, r.c] for r in small.limit(5).collect()])
-    for k, c in enumerate(classes):
-        weights = boosted.models[c].treeWeights
-        stored = explain._stored_nodes(spark, boosted.models[c])
-        trees = plain_trees(spark, stored, lambda t, r: (r.prediction * weights[t], r.stats[0]))
-        got = explain.contributions(x, leaves, np.full(len(x), k))
-        assert np.allclose(got, [brute_force(trees, row) for row in x])
+        assert np.allclose(got, [brute_force(plain_trees(model, k), row) for row in x])
+
+
+def test_contributions_in_blocks_add_up(spark, small, forest):
+    """Blocks of any size give what one block gives, and contributions add up to the probability less its mean."""
+    rows = small.limit(30).select(F.array("a", "b", "c").alias("z"), F.lit(1).alias("predicted"))
+    whole = explain.explain(rows, forest, n=3, names=NAMES).collect()
+    cut = explain.explain(rows, forest, n=3, names=NAMES, block_nodes=5).collect()
+    assert [r.shap_contributions for r in whole] == [r.shap_contributions for r in cut]
+    assert len(explain.tree_blocks(forest, 5)) == 3
+    x = np.array([r.z for r in whole])
+    rest = forest.probabilities(x)[:, 1] - [sum(c.value for c in r.shap_contributions) for r in whole]
+    assert np.ptp(rest) < 3e-4
+
+
+def test_long_paths_are_exact():
+    """Twenty features on one path: the quadrature against the sum over subset sizes."""
+    rng = np.random.default_rng(6)
+    d = 20
+    share = rng.uniform(0.05, 0.95, d)
+    leaf = explain.Leaves(np.arange(d)[None], np.full((1, d), 0.0), np.full((1, d), np.inf), share[None], np.ones((1, 1)))
+    x = rng.normal(size=(4, d))
+    for row, got in zip(x, explain.contributions(x, [leaf], np.zeros(4, int))):
+        met = row > 0
+        for i in range(d):
+            sums = np.array([1.0])
+            for j in range(d):
+                if j != i:
+                    sums = np.append(sums * share[j], 0) + np.append(0, sums * met[j])
+            weights = [math.factorial(k) * math.factorial(d - k - 1) / math.factorial(d) for k in range(d)]
+            assert got[i] == pytest.approx((met[i] - share[i]) * (sums @ weights), abs=1e-12)
 
 
 def test_explained_rows(spark, small, forest):
@@ -101,13 +126,13 @@ def test_explained_rows(spark, small, forest):
 def test_probabilities_and_reload(spark, small, forest, boosted, tmp_path):
     rows = models.assembled(small, NAMES)
     for model in (forest, boosted):
-        path = models.save_model(model, str(tmp_path))
+        path = models.save_model(model, str(tmp_path), spark)
         first = models.predictions(model, rows).collect()
         again = models.predictions(models.load_model(spark, path), rows).collect()
         assert all(abs(sum(r.scores) - 1) < 1e-9 for r in first)
         assert [r.p for r in first] == [r.p for r in again]
         assert np.mean([r.y == r.p for r in first]) > 0.5
-    assert isinstance(models.load_best_model(spark, str(tmp_path)), models.BoostedModel)
+    assert models.load_best_model(spark, str(tmp_path)).kind == "boosted"
     with pytest.raises(FileNotFoundError):
         models.load_best_model(spark, str(tmp_path / "none"))
 
@@ -239,7 +264,7 @@ def flow_rows(spark):
 
 def test_training_and_detection(spark, flow_rows, tmp_path):
     run = training.train(flow_rows, ["id"], kind="forest", chronological=False, benign_rows=100, folder=str(tmp_path),
-                         model_params={"numTrees": 8, "maxDepth": 4})
+                         model_params={"trees": 8, "depth": 4})
     assert run.metrics.first().accuracy > 0.9
     flows = flow_rows.select("id", *[F.col(f"`{f}`") for f in FEATURES]).withColumns({
         "last_ts": F.timestamp_seconds(F.col("id") + 1_700_000_000), "src_ip": F.lit("1.1.1.1"), "dst_ip": F.lit("2.2.2.2"),
@@ -258,10 +283,9 @@ def test_training_and_detection(spark, flow_rows, tmp_path):
 
 def test_grid_and_primary(small):
     rows = models.assembled(small, NAMES)
-    best, table = models.grid_search(rows, {"numTrees": [2], "maxDepth": [1, 3]}, folds=2)
-    assert table.count() == 2 and best.getNumTrees == 2
-    assert models.train_primary(rows, "forest", numTrees=2, maxDepth=2)[0] == "forest"
-    assert len(models.grid_points()) == 12
+    best, table = models.grid_search(rows, {"trees": [2], "depth": [1, 3]}, folds=2)
+    assert table.count() == 2 and best.n_trees == 2
+    assert models.train_primary(rows, "forest", trees=2, depth=2)[0] == "forest"
     with pytest.raises(ValueError):
         models.train_primary(rows, "other")
 
