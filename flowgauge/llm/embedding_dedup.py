@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..storage import written
+from ..storage import lookup, written
 from .components import with_roots
 
 THRESHOLD = 0.9
@@ -21,6 +21,8 @@ TABLES = 6
 PROBES = 4
 TILE = 1024
 SEED = 20
+NAMED_ROWS = 50_000
+HOT_ROWS = 100_000
 CHOICES = ((0, 0), (1, 0), (0, 1), (2, 0), (0, 2), (1, 1), (3, 0), (0, 3))
 
 
@@ -176,15 +178,18 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     """(vec_id, n_links, component_id, kept) for every row.
 
     Links are pairs of vectors of one width whose cosine is at least ``threshold``. Null, zero, empty and non-finite
-    vectors link with nothing and are their own component. Repeated rows are separate vectors that link with each other;
-    ids must not be null. At the threshold 0.9 the default tables and probes find a pair with a probability of 0.9998
+    vectors link with nothing and are their own component. Repeated rows are separate vectors that link with each other, and so
+    are rows that share an id. A null id is never the smallest unless all of a component are null; such a component is null
+    and its rows are kept. At the threshold 0.9 the default tables and probes find a pair with a probability of 0.9998
     (measured at width 64); every pair that is found is checked, so none below the threshold is returned.
     """
     spark = vectors.sparkSession
     lanes = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("x"))
-    # A vector times zero-free scaling stays another vector: only equal ones are merged.
-    same = written(rows.filter(_usable("x")).groupBy("x").agg(F.min("vec_id").alias("vec"), F.count("*").alias("n")))
+    # A vector times zero-free scaling stays another vector: only equal ones are merged. Distinct vectors get numbers of their
+    # own, stored with them; ids are no keys.
+    distinct = written(rows.filter(_usable("x")).groupBy("x").agg(F.min("vec_id").alias("first_id"), F.count("*").alias("n")))
+    same = written(distinct.withColumn("vec", F.monotonically_increasing_id()))
     filed = written(same.select("vec", "n", "x").repartition(lanes).mapInArrow(
         _filed(tables, probes), "dim int, t int, code int, vec long, n long, load binary"))
     bucket = ["dim", "t", "code"]
@@ -198,10 +203,11 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     found = written(units.repartition(lanes, *key).sortWithinPartitions(*key).mapInArrow(
         _verified(threshold, tables, probes), "u long, v long, n long"))
     links = found.filter("n > 0").groupBy(F.col("u").alias("vec")).agg(F.sum("n").alias("found"))
-    rooted = written(with_roots(same.select("vec"), "vec", found.filter("u != v").select("u", "v"), "u", "v"))
-    smallest = rooted.groupBy("_root").agg(F.min("vec").alias("component_id"))
+    rooted = written(with_roots(same.select("vec", "first_id"), "vec", found.filter("u != v").select("u", "v"), "u", "v"))
+    smallest = rooted.groupBy("_root").agg(F.min("first_id").alias("component_id"))
     classes = same.join(links, "vec", "left").join(rooted.join(smallest, "_root").select("vec", "component_id"), "vec")
-    named = classes.select("x", (F.coalesce("found", F.lit(0)) + F.col("n") - 1).alias("n_links"), "component_id")
-    usable = rows.filter(_usable("x")).join(named, "x").select("vec_id", "n_links", "component_id")
+    named = written(classes.select("x", (F.coalesce("found", F.lit(0)) + F.col("n") - 1).alias("n_links"), "component_id"))
+    # A vector that very many rows share stays where its rows are.
+    usable = lookup(rows.filter(_usable("x")), named, ["x"], "inner", NAMED_ROWS, HOT_ROWS).select("vec_id", "n_links", "component_id")
     alone = rows.filter(~_usable("x")).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
-    return usable.unionByName(alone).withColumn("kept", F.col("vec_id") == F.col("component_id"))
+    return usable.unionByName(alone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..storage import written
-from .common import SPACE, texts
+from .common import SPACE, quoted, texts
 
 SALTS = 16
 
@@ -63,14 +63,14 @@ def mark_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = SALTS) -> DataFrame:
-    """``docs`` with one row per distinct text, all its columns unchanged."""
+    """``docs`` with one row per distinct text, all its columns unchanged whatever their names."""
     def named(id_: Column, digest: Column) -> Column:
-        return F.concat(F.coalesce(F.concat(F.lit("="), id_.cast("string")), F.lit("")), F.lit(":"), digest).alias("_keep")
+        return F.concat(F.coalesce(F.concat(F.lit("="), id_.cast("string")), F.lit("")), F.lit(":"), digest)
 
-    keep = equal_texts(docs, id_col, text_col, salts).select(named(F.col("keep_id"), F.col("digest")))
-    digest = sha256(normalised(F.coalesce(F.col(text_col), F.lit(""))))
+    keep = equal_texts(docs, id_col, text_col, salts).select(named(F.col("keep_id"), F.col("digest")).alias("keep"))
+    digest = sha256(normalised(F.coalesce(quoted(text_col), F.lit(""))))
     # Id and digest in one key: copies that go match nothing, whole rows move once, and the window reuses the join's order.
-    found = docs.withColumn("_keep", named(F.col(id_col), digest)).join(keep, "_keep")
+    rows = docs.select(F.struct(*[quoted(c) for c in docs.columns]).alias("row"), named(quoted(id_col), digest).alias("keep"))
     # What is left repeats only where rows share id and text; any one of those stays.
-    one = Window.partitionBy("_keep").orderBy("_keep")
-    return found.withColumn("_n", F.row_number().over(one)).filter("_n = 1").select(*docs.columns)
+    one = Window.partitionBy("keep").orderBy("keep")
+    return rows.join(keep, "keep").withColumn("n", F.row_number().over(one)).filter("n = 1").select("row.*")

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..storage import written
-from .common import WORD
+from .common import WORD, quoted
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -104,4 +104,4 @@ def mixed_documents(docs: DataFrame, text_col: str = "text", **options) -> DataF
     changed = {text_col: F.when(cut, head).otherwise(F.col(text_col))}
     if "n_chars" in columns:
         changed["n_chars"] = F.when(cut, F.length(head).cast("long")).otherwise(F.col("n_chars"))
-    return rows.withColumns(changed).select(*columns)
+    return rows.withColumns(changed).select(*[quoted(c) for c in columns])

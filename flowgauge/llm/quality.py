@@ -11,7 +11,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE
+from .common import SPACE, quoted
 from .labelled import labelled_sample, with_texts
 
 SAMPLE = 20_000
@@ -54,10 +54,11 @@ def with_statistics(rows: DataFrame, text: str = "text") -> DataFrame:
     The statistics leave an ``explode`` of one struct. The optimizer does not move later filters and expressions below it,
     where it would repeat every statistic for every rule that names it.
     """
-    worded = rows.withColumn("_words", F.filter(F.split(F.col(text), SPACE), lambda w: w != ""))
-    measured = F.struct(*[c.cast("double").alias(n) for n, c in statistics(F.col(text)).items()])
-    once = worded.select(*rows.columns, F.explode(F.array(measured)).alias("_s"))
-    return once.select(*rows.columns, *[F.col(f"_s.{n}").alias(f"_{n}") for n in statistics(F.lit(""))])
+    packed = rows.select(F.struct(*[quoted(c) for c in rows.columns]).alias("row"), quoted(text).alias("text"))
+    worded = packed.withColumn("_words", F.filter(F.split("text", SPACE), lambda w: w != ""))
+    measured = F.struct(*[c.cast("double").alias(n) for n, c in statistics(F.col("text")).items()])
+    once = worded.select("row", F.explode(F.array(measured)).alias("s"))
+    return once.select("row.*", *[F.col(f"s.{n}").alias(f"_{n}") for n in statistics(F.lit(""))])
 
 
 Rule = tuple[tuple[str, bool, float], ...]
@@ -172,11 +173,18 @@ def score_quality(docs: DataFrame, model: RuleModel, text_col: str = "text", thr
     """``docs`` with ``_score`` and ``_good`` (score >= threshold).
 
     Null texts score as empty ones, and empty texts get a score like any other. Only the text is looked at. Repeated rows
-    score alike; columns of ``docs`` stay as they are (names with a leading underscore are reserved).
+    score alike; columns of ``docs`` stay as they are whatever their names, but for earlier ones called ``_score`` or ``_good``.
     """
-    rows = with_statistics(docs.withColumn("_text", F.coalesce(F.col(text_col), F.lit(""))), "_text")
-    scored = rows.withColumn("_score", model.column())
-    return scored.select(*docs.columns, "_score", (F.col("_score") >= threshold).alias("_good"))
+    rows = docs.select(F.struct(*[quoted(c) for c in docs.columns]).alias("row"), F.coalesce(quoted(text_col), F.lit("")).alias("text"))
+    scored = with_statistics(rows).withColumn("score", model.column())
+    kept = [F.col("row").getField(c).alias(c) for c in docs.columns if c not in ("_score", "_good")]
+    return scored.select(*kept, F.col("score").alias("_score"), (F.col("score") >= threshold).alias("_good"))
+
+
+def good_documents(docs: DataFrame, model: RuleModel, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` that score well, all their columns unchanged."""
+    rows = docs.select(F.struct(*[quoted(c) for c in docs.columns]).alias("row"), F.coalesce(quoted(text_col), F.lit("")).alias("text"))
+    return with_statistics(rows).filter(model.column() >= threshold).select("row.*")
 
 
 def explain_rules(model: RuleModel) -> list[Mapping[str, object]]:

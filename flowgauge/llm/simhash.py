@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..storage import written
-from .common import slices, texts
+from .common import quoted, slices, texts
 from .components import with_roots
 from .exact_dedup import sha256
 
@@ -203,14 +203,14 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     different components are different documents. Of rows that repeat id and text one stays.
     """
     def named(id_: Column, digest: Column) -> Column:
-        return F.concat(F.coalesce(F.concat(F.lit("="), id_.cast("string")), F.lit("")), F.lit(":"), digest).alias("_keep")
+        return F.concat(F.coalesce(F.concat(F.lit("="), id_.cast("string")), F.lit("")), F.lit(":"), digest)
 
-    id_, digest = F.col(id_col), sha256(F.coalesce(F.col(text_col), F.lit("")))
-    ranked = docs.select(F.struct(id_.isNull().alias("none"), id_.alias("id"), digest.alias("digest")).alias("doc_id"),
-                         F.col(text_col).alias("text"))
+    id_, text = quoted(id_col), F.coalesce(quoted(text_col), F.lit(""))
+    digest = sha256(text)
+    ranked = docs.select(F.struct(id_.isNull().alias("none"), id_.alias("id"), digest.alias("digest")).alias("doc_id"), text.alias("text"))
     first = _rooted(written(fingerprints(ranked, words=words)), radius, tile).groupBy("_root").agg(F.min("first_id").alias("f"))
-    keep = first.select(named(F.col("f.id"), F.col("f.digest")))
+    keep = first.select(named(F.col("f.id"), F.col("f.digest")).alias("keep"))
     # Join and window share one partitioning, so texts move once.
-    one = Window.partitionBy("_keep").orderBy(text_col)
-    numbered = docs.withColumn("_keep", named(id_, digest)).join(keep, "_keep").withColumn("_n", F.row_number().over(one))
-    return numbered.filter("_n = 1").select(*docs.columns)
+    rows = docs.select(F.struct(*[quoted(c) for c in docs.columns]).alias("row"), named(id_, digest).alias("keep"))
+    one = Window.partitionBy("keep").orderBy("keep")
+    return rows.join(keep, "keep").withColumn("n", F.row_number().over(one)).filter("n = 1").select("row.*")

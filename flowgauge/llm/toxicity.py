@@ -23,7 +23,8 @@ WIDTHS = (1, 2, 3)
 FILTERS = 8
 POSITIVES = 3_000
 NEGATIVES = 5_000
-LONGEST_TRAINED = 8_192
+TRAINED_WORDS = 8_000_000
+STEP_WORDS = 400_000
 LEAST_DOCUMENTS = 5
 EPOCHS = 6
 BATCH_BYTES = 4_000_000
@@ -151,9 +152,12 @@ def train(documents: list[list[bytes]], y: np.ndarray, epochs: int = EPOCHS, see
 
 
 def train_coded(vocabulary: Vocabulary, coded: list[np.ndarray], y: np.ndarray, epochs: int = EPOCHS, seed: int = SEED) -> ToxicModel:
-    """Train on all texts but every fifth, which set the cuts. One class only: a constant score; no rows: 0.5."""
+    """Train on all texts but every fifth, which set the cuts. One class only, or no rows: a constant score.
+
+    Without rows nothing is called toxic.
+    """
     if len(y) == 0:
-        return ToxicModel()
+        return ToxicModel(intercept=-3.0)
     if y.min() == y.max():
         return ToxicModel(intercept=3.0 if y[0] else -3.0)
     rng = np.random.default_rng(seed)
@@ -200,6 +204,14 @@ def best_cut(logit: np.ndarray, y: np.ndarray) -> float:
     return float((low[k] + high[k]) / 2)
 
 
+def _steps(rows: np.ndarray, coded: list[np.ndarray], batch: int):
+    """The texts of each step: ``batch`` of them, fewer where they are long."""
+    for a in range(0, len(rows), batch):
+        mine = rows[a:a + batch]
+        for b, c in slices([len(coded[i]) for i in mine], STEP_WORDS):
+            yield mine[b:c]
+
+
 def _descend(model: ToxicModel, coded, slots, y, rows, epochs, rng, batch: int = 64, rate: float = 0.02) -> None:
     """Adam on all parameters; the gradient of a maximum goes to the words under it."""
     table = np.concatenate([model.rows, np.zeros((1, DIM), np.float32)])
@@ -218,11 +230,9 @@ def _descend(model: ToxicModel, coded, slots, y, rows, epochs, rng, batch: int =
 
     intercept, squares = np.array([model.intercept], np.float32), np.zeros_like(table)
     for _ in range(epochs):
-        for a in range(0, len(rows), batch):
-            if a == 0:
-                rng.shuffle(rows)
+        rng.shuffle(rows)
+        for mine in _steps(rows, coded, batch):
             step += 1
-            mine = rows[a:a + batch]
             ids, starts = padded([coded[i] for i in mine], pad)
             word, at = np.unique(ids, return_inverse=True)
             embedded = table[row_of[word]].sum(1)
@@ -263,10 +273,11 @@ def _descend(model: ToxicModel, coded, slots, y, rows, epochs, rng, batch: int =
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text",
-                 positives: int = POSITIVES, negatives: int = NEGATIVES, held_out: int = 0) -> ToxicModel:
-    """Train on at most ``positives`` and ``negatives`` labelled documents outside the held-out fold.
+                 positives: int = POSITIVES, negatives: int = NEGATIVES, held_out: int = 0, words: int = TRAINED_WORDS) -> ToxicModel:
+    """Train on at most ``positives`` and ``negatives`` labelled documents outside the held-out fold, ``words`` words in all.
 
-    Documents above 8192 words are left out of the sample (they are scored whole like any other).
+    Documents are taken whole and in the order of their hashed ids, long ones too; one that does not fit into what is left of
+    ``words`` is passed over.
     """
     both = labelled_sample(labels, label, positives, held_out, value=1).unionByName(
         labelled_sample(labels, label, negatives, held_out, value=0))
@@ -274,9 +285,10 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_co
     # Texts come one by one and stay as word numbers only.
     vocabulary, coded, y = Vocabulary(), [], []
     for row in rows.select("text", "y").toLocalIterator():
-        words = _words(row.text.encode())
-        if len(words) <= LONGEST_TRAINED:
-            coded.append(vocabulary.lookup(words))
+        parts = _words(row.text.encode())
+        if len(parts) <= words:
+            words -= len(parts)
+            coded.append(vocabulary.lookup(parts))
             y.append(row.y)
     return train_coded(vocabulary, coded, np.array(y, int))
 

@@ -11,9 +11,10 @@ def frame(spark):
         full = [(r[0], r[1], "en", r[2] if len(r) > 2 else "s", len(r[1] or "")) for r in rows]
         df = spark.createDataFrame(full, SCHEMA)
         if clash:
-            names = ["score", "kept", "size", "content", "fp", "digest", "target", "keep_id", "component_id", "n", "key"]
+            names = ["score", "kept", "size", "content", "fp", "digest", "target", "keep_id", "component_id", "n", "key",
+                     "_keep", "_n", "_words", "_text", "_s", "row", "keep", "a.b"]
             for name in names:
-                df = df.selectExpr("*", f"'x' AS {name}")
+                df = df.selectExpr("*", f"'x' AS `{name}`")
         return df
 
     return make

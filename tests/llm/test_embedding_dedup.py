@@ -39,6 +39,16 @@ def test_brute_force(spark, tile):
     assert got == brute(vectors)
 
 
+def test_null_and_shared_ids(spark):
+    """No row is lost or multiplied: null ids, two vectors with one id, copies with null ids."""
+    a, b, c = [1.0, 0.0, 0.0], [0.0, 1.0, 0.0], [0.0, 1.0, 0.1]
+    rows = [(None, a), (None, a), (7, b), (7, c), (9, b), (None, c), (None, [0.0, 0.0, 0.0]), (7, [0.0, 0.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = sorted(map(tuple, embedding_dedup.near_vectors(df).collect()), key=str)
+    want = [(None, 1, None, True)] * 2 + [(7, 3, 7, True)] * 2 + [(9, 3, 7, False), (None, 3, 7, False), (None, 0, None, True), (7, 0, 7, True)]
+    assert got == sorted(want, key=str)
+
+
 def test_recall_at_the_threshold():
     """Pairs at a cosine of exactly 0.9 share a bucket nearly always."""
     rng = np.random.default_rng(0)
