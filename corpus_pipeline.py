@@ -9,7 +9,7 @@ from flowgauge.storage import written
 
 def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = quality.fit_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return quality.score_quality(docs, model).filter("_good").select(*docs.columns)
+    return quality.good_documents(docs, model)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
