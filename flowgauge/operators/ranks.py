@@ -1,8 +1,9 @@
 """Exact order statistics without holding a group in one task; one way for tables of any size.
 
-Quantiles are closed in on by counting. Doubles map to whole numbers of the same order (infinities are ordinary ends),
-and each pass cuts the range that still holds a rank into equal parts, counts them in every task, and keeps one part. A
-pass divides a range by ``BUCKETS``, so at most six passes reach a single value; a range with few values left is sorted.
+Quantiles take two scans: one aggregate counts and sketches every column, which brackets each wanted rank, and one pass
+counts what lies below a bracket and the distinct values inside it. Where a bracket holds too many values, or the sketch was
+wrong, ranks are closed in on by counting: doubles map to whole numbers of the same order (infinities are ordinary ends), and
+each pass cuts the range that still holds a rank into ``BUCKETS`` equal parts, counts them in every task, and keeps one.
 
 First rows by an order are found by a range sort of the order columns alone: partition sizes say which partition holds
 the last wanted row, and every row is compared with it. Any orderable type will do; nulls come first.
@@ -22,6 +23,8 @@ from ..storage import fits, written
 BUCKETS = 4096
 CANDIDATES = 100_000
 GROUPS = 100_000
+ACCURACY = 10_000
+MARGIN = 3.0 / ACCURACY
 
 
 def sortable(x: np.ndarray) -> np.ndarray:
@@ -45,12 +48,63 @@ def same(left: Column, right: Column) -> Column:
 
 
 def _cells(batch: pa.RecordBatch, wanted: dict[tuple[int, int], list]) -> Iterator[tuple[list, np.ndarray]]:
-    """What is wanted of a (group, column), with the keys of its values in this batch."""
+    """What is wanted of a (group, column), with the keys of its values in this batch; groups that are not in it cost nothing."""
     group = batch.column(0).to_numpy()
-    for (g, c), ranges in wanted.items():
-        column = batch.column(c + 1)
-        x = column.to_numpy(zero_copy_only=False).astype(np.float64)
-        yield ranges, sortable(x[(group == g) & ~np.isnan(x)])
+    order = np.argsort(group, kind="stable")
+    present, starts = np.unique(group[order], return_index=True)
+    ends = np.append(starts[1:], len(group))
+    columns = sorted({c for _, c in wanted})
+    for c in columns:
+        x = batch.column(c + 1).to_numpy(zero_copy_only=False).astype(np.float64)[order]
+        keys, real = sortable(x), ~np.isnan(x)
+        for g, a, b in zip(present.tolist(), starts.tolist(), ends.tolist(), strict=True):
+            if (g, c) in wanted:
+                yield wanted[g, c], keys[a:b][real[a:b]]
+
+
+Ask = tuple[int, int, int]
+
+
+def _inside_brackets(rows: DataFrame, brackets: dict[Ask, tuple[int, int]]) -> dict[Ask, float]:
+    """Values at those ranks that lie in their bracket [first key, last key]; one pass, no matter how many ranks."""
+    spark = rows.sparkSession
+    ids = {span: i for i, span in enumerate(sorted({(t[0], t[1], *s) for t, s in brackets.items()}))}
+    wanted: dict[tuple[int, int], list] = {}
+    for (g, c, lo, hi), i in ids.items():
+        wanted.setdefault((g, c), []).append((i, lo, hi))
+
+    def look(batches, wanted=wanted):
+        below: dict[int, int] = {}
+        held: dict[int, list[np.ndarray]] = {}
+
+        def flush(i):
+            keys, n = np.unique(np.concatenate(held.pop(i)), return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), i)), pa.array((keys ^ np.uint64(1 << 63)).view(np.int64)), pa.array(n)],
+                                              names=["i", "key", "n"])
+
+        for batch in batches:
+            for ranges, keys in _cells(batch, wanted):
+                for i, lo, hi in ranges:
+                    under = keys < np.uint64(lo)
+                    below[i] = below.get(i, 0) + int(under.sum())
+                    inside = keys[~under & (keys <= np.uint64(hi))]
+                    if len(inside):
+                        held.setdefault(i, []).append(inside)
+                        if sum(map(len, held[i])) > CANDIDATES:
+                            yield flush(i)
+        for i in list(held):
+            yield flush(i)
+        if below:
+            yield pa.RecordBatch.from_arrays([pa.array(list(below)), pa.nulls(len(below), pa.int64()), pa.array(list(below.values()))],
+                                             names=["i", "key", "n"])
+
+    counted = rows.mapInArrow(look, "i long, key long, n long").groupBy("i", "key").agg(F.sum("n").alias("n"))
+    # The row without a key, what lies below, comes first.
+    run = Window.partitionBy("i").orderBy(F.col("key").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = counted.withColumn("upto", F.sum("n").over(run)).filter("key IS NOT NULL")
+    asked = spark.createDataFrame([(ids[(t[0], t[1], *s)], *t) for t, s in brackets.items()], "i long, g long, c long, rank long")
+    hit = placed.join(F.broadcast(asked), "i").filter((F.col("upto") > F.col("rank")) & (F.col("upto") - F.col("n") <= F.col("rank")))
+    return {(r.g, r.c, r.rank): float(unsortable(np.array([r.key], np.int64).view(np.uint64) ^ np.uint64(1 << 63))[0]) for r in hit.collect()}
 
 
 def _select(rows: DataFrame, ranks: dict[tuple[int, int], list[int]], candidates: int) -> dict[tuple[int, int, int], float]:
@@ -133,7 +187,10 @@ def exact_quantiles(df: DataFrame, groups: list[str], columns: Sequence[str], pr
     """
     spark = df.sparkSession
     numbered = df.select(*groups, *[F.col(f"`{c}`").cast("double").alias(f"_{i}") for i, c in enumerate(columns)])
-    filled = [F.count(F.when(~F.isnan(f"_{i}"), F.col(f"_{i}"))).alias(f"_{i}") for i in range(len(columns))]
+    real = [F.when(~F.isnan(f"_{i}"), F.col(f"_{i}")) for i in range(len(columns))]
+    # Sketched ranks on both sides of every wanted one.
+    around = sorted({min(1.0, max(0.0, p + side)) for p in probs for side in (-MARGIN, MARGIN)})
+    filled = [x for i, v in enumerate(real) for x in (F.count(v).alias(f"_{i}"), F.percentile_approx(v, around, ACCURACY).alias(f"_{i}s"))]
     counts = numbered.groupBy(*groups).agg(F.count("*").alias("_rows"), *filled) if groups else numbered.agg(
         F.count("*").alias("_rows"), *filled).filter("_rows > 0")
     if not fits(counts, GROUPS // max(1, len(columns))):
@@ -150,7 +207,18 @@ def exact_quantiles(df: DataFrame, groups: list[str], columns: Sequence[str], pr
         rows = numbered.select(F.lit(0).cast("long").alias("_g"), *[f"_{i}" for i in range(len(columns))])
     spots = {(g, c): [(r[f"_{c}"] - 1) * p for p in probs] for g, r in enumerate(found) for c in range(len(columns)) if r[f"_{c}"]}
     ranks = {cell: sorted({int(x) for s in at for x in (np.floor(s), np.ceil(s))}) for cell, at in spots.items()}
-    value = _select(rows, ranks, candidates) if ranks else {}
+    brackets = {}
+    for (g, c), wanted in ranks.items():
+        n, sketch = found[g][f"_{c}"], sortable(np.array(found[g][f"_{c}s"], float))
+        if 2 * MARGIN * n <= candidates:
+            for r in wanted:
+                low, high = (r / n - 0.5 * MARGIN), ((r + 1) / n + 0.5 * MARGIN)
+                under = [k for p, k in zip(around, sketch.tolist(), strict=True) if p <= low]
+                over = [k for p, k in zip(around, sketch.tolist(), strict=True) if p >= high]
+                brackets[g, c, r] = (under[-1] if under else 0, over[0] if over else 2**64 - 1)
+    value = _inside_brackets(rows, brackets) if brackets else {}
+    left = {cell: rest for cell, wanted in ranks.items() if (rest := [r for r in wanted if (*cell, r) not in value])}
+    value |= _select(rows, left, candidates) if left else {}
 
     def quantile(cell, spot):
         low, high = value[(*cell, int(np.floor(spot)))], value[(*cell, int(np.ceil(spot)))]
