@@ -12,6 +12,7 @@ from flowgauge.sources import captures, logs
 from flowgauge.storage import lookup
 from flowgauge.streaming import flows as stream_flows
 from flowgauge.streaming import response as stream_response
+from flowgauge.streaming import runs
 from test_flows import START, random_packets
 
 MARK = START + timedelta(days=900)
@@ -122,3 +123,32 @@ def test_query_detects_with_all_parts(spark, monkeypatch):
     with pytest.raises(Called):
         stream_queries.stream_detect(spark, "/root/testdata/sf0.001")
     assert seen["params"] == {} and seen["explained"] and len(seen["anomaly"].nodes) > 0
+
+
+def test_late_rows_are_counted_over_restarts(spark, tmp_path):
+    """Rows behind the watermark: none in the first run, five in one batch and three in another of the second, two in the third."""
+    path, place = str(tmp_path / "in"), str(tmp_path / "run")
+
+    def send(at, n, key="a"):
+        rows = [(START + timedelta(seconds=at, microseconds=i), i, key, "b", 1, 2, 6, 60, 0) for i in range(n)]
+        spark.createDataFrame(rows, PACKET).coalesce(1).write.mode("append").parquet(path)
+
+    def run():
+        stream = captures.read_packet_stream(spark, path, files_per_trigger=1)
+        return runs.drained(stream_flows.stream_flows(stream, 2, 30, "4 seconds"), place)
+
+    send(0, 4)
+    send(100, 4)
+    send(200, 2)
+    run()
+    assert runs.late_rows(spark, place) == 0
+    send(10, 5)
+    send(20, 3)
+    run()
+    assert runs.late_rows(spark, place) == 8
+    send(30, 2)
+    send(900, 2)
+    out = run()
+    assert runs.late_rows(spark, place) == 10
+    # The first three flows are out, each once; what came late is in none.
+    assert sorted(r[0] for r in spark.read.parquet(out).select("`Total Fwd Packets`").collect()) == [2.0, 4.0, 4.0]
