@@ -18,6 +18,14 @@ ORDER = ["_day", "_file", "_block", "_row"]
 HEADER_BYTES = 1 << 16
 
 
+def _first_line(source) -> str:
+    """A file's first line, however long."""
+    line = b""
+    while b"\n" not in line and (part := source.read(HEADER_BYTES)):
+        line += part
+    return line.split(b"\n", 1)[0].decode("latin-1").rstrip("\r")
+
+
 def _headers(spark: SparkSession, path: str) -> list[tuple[str, list[str]]]:
     """(file, column names) of every CSV file under a path, by file name.
 
@@ -31,7 +39,7 @@ def _headers(spark: SparkSession, path: str) -> list[tuple[str, list[str]]]:
             lines = []
             for name in frame["path"]:
                 with open_file(name) as f:
-                    lines.append(f.read(HEADER_BYTES).split(b"\n", 1)[0].decode("latin-1").rstrip("\r"))
+                    lines.append(_first_line(f))
             yield pd.DataFrame({"path": frame["path"], "line": lines})
 
     found = []

@@ -54,6 +54,22 @@ def test_captures_in_small_chunks_and_broken_files(spark, tmp_path):
     assert len(rows) == 101 and len({r.seq for r in rows}) == 101
 
 
+def test_broken_captures_are_listed(spark, tmp_path):
+    write(tmp_path / "a.pcap", [(1, 1, frame()), (2, 2, frame())])
+    write(tmp_path / "b.pcap", [(1, 1, frame()), (2, 2, frame())])
+    whole = (tmp_path / "b.pcap").read_bytes()
+    (tmp_path / "b.pcap").write_bytes(whole[:-7])
+    (tmp_path / "c.pcap").write_bytes(b"not a capture, but longer than a header")
+    found = {r.path.rsplit("/", 1)[1]: (r.start, r.stop, r.reason) for r in captures.broken_ranges(spark, str(tmp_path / "*.pcap")).collect()}
+    assert found == {"b.pcap": (24 + 16 + 54, len(whole) - 7, "record cut short"), "c.pcap": (0, 39, "not a capture")}
+
+
+def test_header_of_any_length(spark, tmp_path):
+    names = [f"column number {i} of a very wide table" for i in range(4000)]
+    (tmp_path / "wide.csv").write_bytes((",".join(names) + "\n" + ",".join("1" for _ in names) + "\n").encode())
+    assert flow_csv._headers(spark, str(tmp_path))[0][1] == names
+
+
 def test_raw_ip_and_later_fragments(spark, tmp_path):
     write(tmp_path / "r.pcap", [(1, 0, frame()[14:]), (2, 0, frame(fragment=8)[14:])], link=101)
     rows = read(spark, tmp_path / "r.pcap")
