@@ -142,6 +142,20 @@ def probability_sums(spark, folder):
     return scored.agg(F.count("*").alias("n"), F.count_if(wrong).alias("wrong"))
 
 
+def scoring_rate(spark, folder):
+    """Rows of a whole scoring job, and whether a row takes less than 20 ms of it."""
+    scored, _, _ = classified(spark, folder)
+    took = evaluate.score_throughput(scored.select("vec_id", "predicted", "confidence"))
+    return took.select("rows", (F.col("ms_per_row") < 20).alias("quick"))
+
+
+def explaining_rate(spark, folder):
+    """Rows of a whole explaining job, and whether a row takes less than 100 ms of it."""
+    scored, model, _ = classified(spark, folder)
+    took = evaluate.score_throughput(explain.explain(written(scored), model).select("vec_id", "shap_contributions"))
+    return took.select("rows", (F.col("ms_per_row") < 100).alias("quick"))
+
+
 def explain_sums(spark, folder):
     """Contributions add up: what is left of the confidence is the same for all rows of a class."""
     scored, model, _ = classified(spark, folder)
@@ -285,6 +299,8 @@ QUERIES = {
     "stored_model_same": (stored_model_same, "SELECT count(*) AS n, 0 AS differ FROM embeddings"),
     "classify": (classify, None),
     "probability_sums": (probability_sums, "SELECT count(*) AS n, 0 AS wrong FROM embeddings"),
+    "scoring_rate": (scoring_rate, 'SELECT count(*) AS "rows", true AS quick FROM embeddings'),
+    "explaining_rate": (explaining_rate, 'SELECT count(*) AS "rows", true AS quick FROM embeddings'),
     "explain_sums": (explain_sums, "SELECT count(*) AS n, 0 AS uneven FROM embeddings"),
     "isolation_scores": (isolation_scores, None),
     "isolation_share": (isolation_share, """SELECT count(*) AS fitted, CAST(ceil((count(*) - 1) * 0.05) AS BIGINT) AS flagged FROM embeddings WHERE label % 7 = 0"""),

@@ -8,7 +8,8 @@ FOLDER = "/root/testdata/sf0.001"
 TRAINERS = [(models, n) for n in ("train_forest", "train_boosted", "train_primary", "grid_search")] + [
     (training, n) for n in ("train", "quick_importance")]
 QUERIES = ["forest", "boosted", "primary_model", "grid_search", "feature_importance", "stored_model", "stored_model_same", "classify",
-           "probability_sums", "explain", "explain_first", "explain_sums", "detect", "quick_importance", "training_run"]
+           "probability_sums", "explain", "explain_first", "explain_sums", "detect", "quick_importance", "training_run", "forest_told", "boosted_told", "primary_told", "grid_told", "boosted_reload",
+           "boosted_loss", "scoring_rate", "explaining_rate"]
 
 
 class Called(Exception):
