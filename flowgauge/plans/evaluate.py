@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import class_name
 from ..schemas import CLASS_IDS
-from ..storage import written
+from ..storage import lookup, written
+
+LEAST_RANGES = 256
+RANGE_ROWS = 250_000
 
 
 def confusion_counts(pred: DataFrame, by: list[str] = ()) -> DataFrame:
@@ -84,23 +87,24 @@ def confusion(pred: DataFrame, normalize: bool = False) -> DataFrame:
     return full.select("y", "name", "p", (F.col("n") / total).alias("value"))
 
 
-def running_totals(cells: DataFrame, group: str, order: str, columns: list[str], buckets: int = 256) -> DataFrame:
+def running_totals(cells: DataFrame, group: str, order: str, columns: list[str], buckets: int | None = None) -> DataFrame:
     """Add ``upto_<c>``: totals over rows of the group with a higher or equal ``order``.
 
-    Rows are spread over value ranges of roughly equal row count; ranges are
-    summed first and each range adds the totals of the ranges above it, so a
-    group never runs through one task.
+    Rows are spread over value ranges of roughly equal row count, more of them
+    the more rows there are; ranges are summed first and each range adds the
+    totals of the ranges above it, so a group never runs through one task.
     """
     cells = written(cells)
-    spots = cells.agg(F.percentile_approx(F.col(order), [i / buckets for i in range(1, buckets)], 10_000).alias("q")).first()["q"]
+    if buckets is None:
+        buckets = max(LEAST_RANGES, -(-cells.count() // RANGE_ROWS))
+    spots = cells.agg(F.percentile_approx(F.col(order), [i / buckets for i in range(1, buckets)], max(10_000, 4 * buckets)).alias("q")).first()["q"]
     splits = [-float("inf"), *sorted(set(spots or [0.0])), float("inf")]
     placed = Bucketizer(splits=splits, inputCol=order, outputCol="_range").transform(cells)
     totals = placed.groupBy(group, "_range").agg(*[F.sum(c).alias(f"_{c}") for c in columns])
     above = Window.partitionBy(group).orderBy(F.col("_range").desc()).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(group, "_range", *[F.coalesce(F.sum(f"_{c}").over(above), F.lit(0)).alias(f"_{c}") for c in columns])
     inside = Window.partitionBy(group, "_range").orderBy(F.col(order).desc())
-    # At most ``buckets`` offsets per group.
-    joined = placed.join(F.broadcast(offsets), [group, "_range"])
+    joined = lookup(placed, written(offsets), [group, "_range"], "inner")
     return joined.withColumns({
         f"upto_{c}": F.col(f"_{c}") + F.sum(c).over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow))
         for c in columns
