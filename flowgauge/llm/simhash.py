@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..storage import written
-from .common import quoted, slices, texts
+from .common import quoted, texts
 from .components import with_roots
 from .exact_dedup import sha256
 
