@@ -65,6 +65,19 @@ def op5_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return embedding_dedup.near_vectors(table(spark, folder, "embeddings").select("vec_id", "embedding"))
 
 
+OP5_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+u AS (SELECT * FROM v WHERE len(x) > 0 AND len(list_filter(x, lambda e: e IS NULL OR isnan(e) OR isinf(e))) = 0
+    AND len(list_filter(x, lambda e: e <> 0)) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
+    AND list_dot_product(a.x, b.x) / sqrt(list_dot_product(a.x, a.x) * list_dot_product(b.x, b.x)) >= 0.9),
+n AS (SELECT a, count(*) AS links FROM l GROUP BY a),
+r(vec_id, root) AS (SELECT vec_id, vec_id FROM v UNION SELECT l.a, r.root FROM r JOIN l ON l.b = r.vec_id),
+m AS (SELECT vec_id, min(root) AS component_id FROM r GROUP BY vec_id)
+SELECT m.vec_id, coalesce(n.links, 0) AS n_links, component_id, m.vec_id = component_id AS kept FROM m LEFT JOIN n ON n.a = m.vec_id
+"""
+
+
 def op6_licence_scan(spark: SparkSession, folder: str) -> DataFrame:
     found = licences.scan_licences(table(spark, folder, "documents").select("doc_id", "text"))
     starts = F.transform("places", lambda p: p["start"])
@@ -79,6 +92,32 @@ def op6_licence_scan(spark: SparkSession, folder: str) -> DataFrame:
         F.coalesce(cover, F.lit(0.0)).alias("score"))
 
 
+def licence_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    """The part of the licence scan that SQL can say: words and places of the phrases (-1: none)."""
+    ends = [F.coalesce(c, F.lit(-1)).cast("long").alias(c) for c in ("first_word", "last_word")]
+    return op6_licence_scan(spark, folder).select("doc_id", "n_words", "n_base", *ends, "base_labels")
+
+
+def _phrase_places() -> str:
+    parts = []
+    for phrase, label in licences.PHRASES.items():
+        words = phrase.split()
+        list_ = ", ".join(f"'{w}'" for w in words)
+        parts.append(f"SELECT r, i - 1 AS spot, '{label}' AS label FROM (SELECT r, ws, unnest(generate_series(1, len(ws) - {len(words) - 1})) AS i FROM d) "
+                     f"WHERE ws[i:i + {len(words) - 1}] = [{list_}]")
+    return " UNION ALL ".join(parts)
+
+
+LICENCE_PHRASES_SQL = rf"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+p AS ({_phrase_places()}),
+g AS (SELECT r, count(*) AS n, min(spot) AS first, max(spot) AS last, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM p GROUP BY r)
+SELECT doc_id, len(ws) AS n_words, coalesce(n, 0) AS n_base, coalesce(first, -1) AS first_word, coalesce(last, -1) AS last_word, coalesce(labels, '') AS base_labels
+FROM d LEFT JOIN g USING (r)
+"""
+
+
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
@@ -157,7 +196,7 @@ QUERIES = {
     "op2_lm_scores": (op2_lm_scores, None),
     "op3_quality": (op3_quality, None),
     "op4_exact_dedup": (op4_exact_dedup, OP4_SQL),
-    "op5_embedding_near_dedup": (op5_embedding_near_dedup, None),
+    "op5_embedding_near_dedup": (op5_embedding_near_dedup, OP5_SQL),
     "op6_licence_scan": (op6_licence_scan, None),
     "op7_pack_documents": (op7_pack_documents, None),
     "op8_toxicity": (op8_toxicity, None),
@@ -165,5 +204,6 @@ QUERIES = {
     "op10_simhash": (op10_simhash, None),
     "op11_line_dedup": (op11_line_dedup, OP11_SQL),
     "op12_token_alignment": (op12_token_alignment, None),
+    "licence_phrases": (licence_phrases, LICENCE_PHRASES_SQL),
     "op13_periodic_runs": (op13_periodic_runs, None),
 }
