@@ -34,9 +34,11 @@ class WordIds:
     that may hold special strings are not lower-cased beforehand. A full cache is emptied; that costs time only.
     """
 
-    def __init__(self, tokenizer_path: str):
+    def __init__(self, tokenizer_path: str, cached_words: int = CACHED_WORDS):
         from tokenizers import Tokenizer
 
+        self.cached_words = cached_words
+
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
         self._clear()
@@ -56,7 +58,7 @@ class WordIds:
 
     def encode(self, texts: list[bytes], end: int) -> list[np.ndarray]:
         """Ids of each text, the end id last."""
-        if len(self.known) > CACHED_WORDS:
+        if len(self.known) > self.cached_words:
             self._clear()
         documents = [(t if b"<|" in t else t.lower()).split() for t in texts]
         raw = list(set(chain.from_iterable(documents)))
@@ -95,14 +97,14 @@ def _spread(first: np.ndarray, n: np.ndarray) -> np.ndarray:
     return places
 
 
-_BY_PATH: dict[str, WordIds] = {}
+_BY_PATH: dict[tuple[str, int], WordIds] = {}
 
 
-def word_ids(tokenizer_path: str) -> WordIds:
+def word_ids(tokenizer_path: str, cached_words: int = CACHED_WORDS) -> WordIds:
     """One cache per worker process, kept from task to task."""
-    if tokenizer_path not in _BY_PATH:
-        _BY_PATH[tokenizer_path] = WordIds(tokenizer_path)
-    return _BY_PATH[tokenizer_path]
+    if (tokenizer_path, cached_words) not in _BY_PATH:
+        _BY_PATH[tokenizer_path, cached_words] = WordIds(tokenizer_path, cached_words)
+    return _BY_PATH[tokenizer_path, cached_words]
 
 
 def binary_pieces(n: int, longest: int = LONGEST) -> list[int]:
@@ -112,25 +114,26 @@ def binary_pieces(n: int, longest: int = LONGEST) -> list[int]:
 
 
 def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", longest: int = LONGEST,
-         end: int = END, with_ids: bool = False) -> DataFrame:
+         end: int = END, with_ids: bool = False, cached_words: int = CACHED_WORDS, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """Pieces of all documents: one row each, with ``ids`` where ``with_ids`` is set.
 
     ``longest`` is a power of two. A null or empty text is the single end token; repeated rows are packed each;
     special strings in a text become what the tokenizer makes of them. ``bucket`` is the piece's power of two. Sequence
-    ids are unique and ascend by bucket: bucket, task and place in the task share one 64-bit number.
+    ids are unique and ascend by bucket: bucket, task and place in the task share one 64-bit number. ``cached_words`` and
+    ``batch_bytes`` bound a worker's memory and change no result.
     """
     kind = docs.schema[id_col].dataType
     schema = PIECE.format(id=kind.simpleString()) + (", ids array<long>" if with_ids else "")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = word_ids(tokenizer_path)
+        words = word_ids(tokenizer_path, cached_words)
         task = TaskContext.get().partitionId()
         used = [0] * longest.bit_length()
         for batch in batches:
             column = batch.column(1).cast(pa.binary())
             sizes = np.diff(np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1]) \
                 if len(column) else []
-            for a, b in slices(sizes, BATCH_BYTES):
+            for a, b in slices(sizes, batch_bytes):
                 coded = words.encode(column[a:b].to_pylist(), end)
                 rows = []
                 for i, ids in enumerate(coded):
