@@ -25,7 +25,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs, tokenizer_path())
+    # Executors come here with the memory that the stages before have taken; workers get by with less.
+    return packing.pack(docs, tokenizer_path(), cached_words=200_000, batch_bytes=2_000_000)
 
 
 STAGES = [("quality", drop_poor), ("exact_dedup", drop_copies), ("near_dedup", drop_near_copies), ("mix", mix_sources), ("pack", pack)]
