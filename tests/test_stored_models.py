@@ -79,3 +79,37 @@ def test_scoring_in_many_batches(spark, rows, monkeypatch):
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
     assert np.allclose(np.stack(got.scores.to_numpy()), forest.probabilities(x))
+
+
+def test_a_large_input_file_is_boosted_by_several_tasks(spark, rows):
+    """One partition of rows becomes chunks in several files, and the model is that of one task."""
+    df, x, _ = rows
+    one = df.coalesce(1)
+    data = trees.bin_rows(one, chunk=100)
+    assert data.chunks == 20 and len(data.table(spark).inputFiles()) > 1
+    p = trees.Boosting(rounds=12, depth=3, rate=0.3, rows=0.8, columns=0.75, seed=1)
+    levels, whole = trees.boost(one, p, chunk=100, local_rows=300), trees.boost(one, p)
+    assert np.allclose(levels.history, whole.history) and np.allclose(levels.probabilities(x), whole.probabilities(x))
+
+
+def test_kept_margins_are_those_added_up_from_the_start(monkeypatch):
+    rng = np.random.default_rng(0)
+    bins = [rng.integers(0, 9, (50, 2)).astype(np.uint8) for _ in range(3)]
+    chunks = [trees.Chunk(b, b[:, 0].astype(np.int64) % 2, np.ones(50), trees.row_keys(b, b[:, 0] % 2), np.zeros((50, 2))) for b in bins]
+
+    def grown(r):
+        out = []
+        for c in range(2):
+            tree = trees.Growing()
+            tree.value[0] = 0.0
+            for child, value in zip(tree.split(0, c, r, 1.0), (0.1 * r, -0.3), strict=True):
+                tree.value[child] = value
+            out.append(tree)
+        return out
+
+    later = [grown(r) for r in range(1, 6)]
+    for room in (10**6, 900):
+        monkeypatch.setattr(trees, "MARGIN_BYTES", room)
+        for n in (0, 1, 1, 3, 5, 2):
+            for chunk in chunks:
+                assert np.array_equal(trees._margin(chunk, later[:n], f"table {room}"), trees._added(chunk.margin, chunk.bins, later[:n]))
