@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from flowgauge.catalog import model_queries
 from flowgauge.operators import explain, models, trees
 
 NAMES = ["a", "b", "c", "d"]
@@ -113,3 +114,12 @@ def test_kept_margins_are_those_added_up_from_the_start(monkeypatch):
         for n in (0, 1, 1, 3, 5, 2):
             for chunk in chunks:
                 assert np.array_equal(trees._margin(chunk, later[:n], f"table {room}"), trees._added(chunk.margin, chunk.bins, later[:n]))
+
+
+def test_equal_rows_count_once_each_when_two_models_are_compared(spark, rows):
+    df, _, _ = rows
+    twice = df.limit(50).union(df.limit(50)).cache()
+    one, other = (trees.grow_forest(twice, trees.Forest(3, 2, 2, seed)) for seed in (1, 2))
+    assert model_queries.differing(twice, one, one).first().asDict() == {"n": 100, "differ": 0}
+    found = model_queries.differing(twice, one, other).first()
+    assert found.n == 100 and 0 < found.differ <= 100
