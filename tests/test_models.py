@@ -113,6 +113,30 @@ def test_long_paths_are_exact():
             assert got[i] == pytest.approx((met[i] - share[i]) * (sums @ weights), abs=1e-12)
 
 
+def test_explanations_use_all_tasks(spark, small, forest):
+    """Rows of one partition, as a small file gives them, are dealt over the tasks; each gets what it got in one."""
+    rows = small.limit(40).coalesce(1).select(F.array("a", "b", "c").alias("z"), F.lit(1).alias("predicted"))
+    spread = explain.explain(rows, forest, n=3, names=NAMES)
+    assert spread.select("z").rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    x = np.array([r.z for r in rows.collect()])
+    phi = explain.contributions(x, explain.leaves_of(forest, 0, forest.n_trees), np.ones(len(x), int))
+    want = {tuple(r): {name: round(float(v), 4) for name, v in zip(NAMES, line)} for r, line in zip(x, phi)}
+    got = {tuple(r.z): {c.feature: c.value for c in r.shap_contributions} for r in spread.collect()}
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k], abs=1e-4) for k in want)
+
+
+def test_leaves_that_add_nothing_to_a_class_are_left_out():
+    """Work goes to the leaves of the asked class alone: poisoned leaves of another class do not reach the result."""
+    rng = np.random.default_rng(9)
+    n, d = 6, 3
+    value = np.zeros((n, 2))
+    value[::2, 0], value[1::2, 1] = 0.5, 0.25
+    share = rng.uniform(0.2, 0.8, (n, d))
+    share[1::2] = np.nan
+    leaves = explain.Leaves(np.tile(np.arange(d), (n, 1)), np.full((n, d), -np.inf), rng.normal(size=(n, d)), share, value)
+    assert np.isfinite(explain.contributions(rng.normal(size=(5, d)), [leaves], np.zeros(5, int))).all()
+
+
 def test_explained_rows(spark, small, forest):
     rows = small.limit(20).select(F.array("a", "b", "c").alias("z"), F.lit(1).alias("predicted"))
     odd = spark.createDataFrame([([float("nan"), 1.0, 2.0], 1), ([0.0, 0.0, 0.0], 99)], "z array<double>, predicted int")
