@@ -207,3 +207,22 @@ def test_gradient_of_the_perceptron():
     slope = np.array([(loss(w.flat + d) - loss(w.flat - d)) / 2e-6 for d in np.eye(len(w.flat)) * 1e-6])
     w.train(x, y)
     assert np.allclose(w.m, 0.1 * slope, atol=1e-6)
+
+
+def test_rows_of_a_level_are_sorted_in_linear_time(monkeypatch):
+    """Growing sorts numbers of 8 and 16 bits alone; the order is that of the stable sort by slot and bin."""
+    rng = np.random.default_rng(12)
+    for n_slots in (1, 7, 300, 70_000):
+        slot, bins = rng.integers(0, n_slots, 4000), rng.integers(0, 256, 4000).astype(np.uint8)
+        assert np.array_equal(trees._by_slot_and_bin(slot, bins, n_slots), np.argsort(slot * 256 + bins, kind="stable"))
+    sizes, sort = [], np.argsort
+
+    def noted(a, *args, **more):
+        sizes.append(a.dtype.itemsize)
+        return sort(a, *args, **more)
+
+    monkeypatch.setattr(np, "argsort", noted)
+    label, bins = rng.integers(0, 3, 3000), rng.integers(0, 256, (3000, 4)).astype(np.uint8)
+    part = trees.finish(bins, label, np.ones(3000), 3, trees.Forest(1, None, 2, 1), 0, rng)
+    assert max(sizes) <= 2 and part["cover"][0] == 3000
+    assert (part["value"].max(1)[part["feature"] < 0] == 1.0).mean() > 0.99
