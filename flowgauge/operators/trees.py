@@ -104,8 +104,12 @@ class TreeModel:
         return total / max(1, self.n_trees) if self.kind == "forest" else softmax(total)
 
     def transform(self, df: DataFrame) -> DataFrame:
-        """Add ``probability`` (a vector) and ``prediction`` to rows with a vector column ``features``."""
+        """Add ``probability`` (a vector) and ``prediction`` to rows with a vector column ``features``.
+
+        A file of the input may be one task; its rows are dealt over all tasks.
+        """
         shared = df.sparkSession.sparkContext.broadcast(self)
+        df = df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
         @F.pandas_udf("array<double>")
         def scores(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

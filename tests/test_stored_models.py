@@ -123,3 +123,12 @@ def test_equal_rows_count_once_each_when_two_models_are_compared(spark, rows):
     assert model_queries.differing(twice, one, one).first().asDict() == {"n": 100, "differ": 0}
     found = model_queries.differing(twice, one, other).first()
     assert found.n == 100 and 0 < found.differ <= 100
+
+
+def test_scoring_uses_all_tasks(spark, rows):
+    """Rows of one partition, as a small file gives them, are dealt over the tasks."""
+    df, _, _ = rows
+    model = trees.grow_forest(df, trees.Forest(3, 4, 2, 1))
+    scored = model.transform(df.coalesce(1))
+    assert scored.select("prediction").rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert scored.count() == df.count()
