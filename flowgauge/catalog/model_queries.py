@@ -207,7 +207,9 @@ def told_apart(train):
     """Rows per true and predicted class of a model trained on the separable view."""
     def run(spark, folder):
         rows = told(spark, folder)
-        return models.predictions(train(rows), rows).groupBy("y", "p").agg(F.count("*").alias("n"))
+        # A file of the input may be one task; its rows are dealt over all tasks before they are scored.
+        spread = rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+        return models.predictions(train(rows), spread).groupBy("y", "p").agg(F.count("*").alias("n"))
 
     return run
 

@@ -125,10 +125,13 @@ def test_equal_rows_count_once_each_when_two_models_are_compared(spark, rows):
     assert found.n == 100 and 0 < found.differ <= 100
 
 
-def test_scoring_uses_all_tasks(spark, rows):
-    """Rows of one partition, as a small file gives them, are dealt over the tasks."""
+def test_told_queries_score_in_all_tasks(spark, rows, monkeypatch):
+    """Rows of one partition, as a small file gives them, are dealt over the tasks before they are scored."""
     df, _, _ = rows
-    model = trees.grow_forest(df, trees.Forest(3, 4, 2, 1))
-    scored = model.transform(df.coalesce(1))
-    assert scored.select("prediction").rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
-    assert scored.count() == df.count()
+    seen = []
+    monkeypatch.setattr(model_queries, "told", lambda *_: df.coalesce(1))
+    predictions = models.predictions
+    monkeypatch.setattr(models, "predictions", lambda model, held: seen.append(held.rdd.getNumPartitions()) or predictions(model, held))
+    run = model_queries.told_apart(lambda train: trees.grow_forest(train, trees.Forest(3, 4, 2, 1)))
+    assert run(spark, "").agg(F.sum("n")).first()[0] == df.count()
+    assert seen == [int(spark.conf.get("spark.sql.shuffle.partitions"))]
