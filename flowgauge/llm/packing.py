@@ -51,7 +51,7 @@ class WordIds:
     def _learn(self, words: set[bytes]) -> None:
         fresh = [w for w in words if w not in self.known]
         if fresh:
-            found = [e.ids for e in self.tokenizer.encode_batch([w.decode("utf-8") for w in fresh], add_special_tokens=False)]
+            found = [e.ids for e in self.tokenizer.encode_batch_fast([w.decode("utf-8") for w in fresh], add_special_tokens=False)]
             self.known.update(zip(fresh, range(len(self.known), len(self.known) + len(fresh)), strict=True))
             self.count = np.concatenate([self.count, np.fromiter(map(len, found), np.int64, len(found))])
             self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(found), "<u4")])

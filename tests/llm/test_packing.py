@@ -55,3 +55,16 @@ def test_empty_and_buckets(nothing, frame, tmp_path, spark):
     packing.write_buckets(packing.pack(frame([(1, "a b c"), (2, "d")]), path), str(tmp_path / "b"))
     back = spark.read.parquet(str(tmp_path / "b"))
     assert back.filter("length_bucket != bucket").count() == 0 and back.agg({"length": "sum"}).first()[0] == 6
+
+
+def test_new_words_are_tokenized_without_offsets():
+    """Words are learned by the tokenizer's shorter way, which leaves out the offsets; the ids are those of the full one."""
+    words = packing.WordIds(vocabulary.path("word_bpe_49k.json"))
+    full = words.tokenizer
+
+    class IdsAlone:
+        encode_batch_fast = staticmethod(full.encode_batch_fast)
+
+    words.tokenizer = IdsAlone()
+    text = "Some words, and one <|end|> été 12.5 again; words!"
+    assert words.encode([text.encode()], 2)[0].tolist() == [*full.encode(text, add_special_tokens=False).ids, 2]
