@@ -152,3 +152,30 @@ def test_late_rows_are_counted_over_restarts(spark, tmp_path):
     assert runs.late_rows(spark, place) == 10
     # The first three flows are out, each once; what came late is in none.
     assert sorted(r[0] for r in spark.read.parquet(out).select("`Total Fwd Packets`").collect()) == [2.0, 4.0, 4.0]
+
+
+def state_rows(df, name, place):
+    """The most rows of state that a stream over all its files has kept."""
+    query = df.writeStream.format("memory").queryName(name).option("checkpointLocation", str(place)).start()
+    try:
+        query.processAllAvailable()
+        return max(op["numRowsTotal"] for p in query.recentProgress for op in p["stateOperators"])
+    finally:
+        query.stop()
+
+
+def test_many_flows_share_few_pieces_of_state(spark, tmp_path):
+    """State has a row per shard, not per key; ports that are missing and ids that a double cannot hold stay as they are."""
+    rows = [(START + timedelta(seconds=j), (1 << 60) + j, f"10.0.0.{i}", "192.168.0.1", 5 if i else None, 80, 6, 60 + i, 16) for i in range(60) for j in range(3)]
+    path = str(tmp_path / "packets")
+    for part in (rows[:100], rows[100:]):
+        spark.createDataFrame(part, PACKET).coalesce(1).write.mode("append").parquet(path)
+
+    def flowing():
+        return stream_flows.stream_flows(captures.read_packet_stream(spark, path, files_per_trigger=1), 2, 30, "1 day", shards=4)
+
+    assert 0 < state_rows(flowing(), "open_flows", tmp_path / "open") <= 4
+    spark.createDataFrame([(MARK, -1, "9.9.9.9", "9.9.9.8", 1, 2, 6, 0, 0)], PACKET).coalesce(1).write.mode("append").parquet(path)
+    got = drained(spark, flowing(), "closed_flows", tmp_path / "closed")
+    found = {r.src_ip: (r.src_port, r["Total Fwd Packets"], r["Min Packet Length"]) for r in got.collect()}
+    assert found == {f"10.0.0.{i}": (5 if i else None, 3.0, 60.0 + i) for i in range(60)}
