@@ -179,3 +179,11 @@ def test_many_flows_share_few_pieces_of_state(spark, tmp_path):
     got = drained(spark, flowing(), "closed_flows", tmp_path / "closed")
     found = {r.src_ip: (r.src_port, r["Total Fwd Packets"], r["Min Packet Length"]) for r in got.collect()}
     assert found == {f"10.0.0.{i}": (5 if i else None, 3.0, 60.0 + i) for i in range(60)}
+
+
+def test_many_sources_share_few_pieces_of_state(spark, tmp_path):
+    alerts = [((1 << 60) + i, START + timedelta(seconds=i), f"10.0.0.{i}", "Bots", "MEDIUM") for i in range(60)]
+    schema = "alert_id long, timestamp timestamp, src_ip string, attack_type string, severity string"
+    spark.createDataFrame(alerts, schema).coalesce(1).write.parquet(str(tmp_path / "alerts"))
+    stream = spark.readStream.schema(schema).parquet(str(tmp_path / "alerts"))
+    assert 0 < state_rows(stream_response.stream_response(stream, None, None, "1 day", shards=4), "open_sources", tmp_path / "open") <= 4
