@@ -7,7 +7,8 @@ find their node by walking the trees grown so far, so nothing is kept in tasks b
 
 Boosting sums the levels of all classes' trees of a round together. Margins are written with the rows every few rounds, which
 cuts the lineage; tasks add the trees since. Trees grow level by level while their nodes are large; a node of at most
-``LOCAL_ROWS`` rows is finished by one task, which gets those rows. Row weights and row samples are hashes of the rows'
+``LOCAL_ROWS`` rows is finished by one task, which gets those rows. Rounds follow one another, so what counts in boosting is how
+many jobs a round is made of: there the bound is ``BOOSTED_ROWS``; a task gets a byte a feature and two numbers of each row. Row weights and row samples are hashes of the rows'
 bins, so tasks that run again draw the same.
 """
 
@@ -31,6 +32,7 @@ from ..storage import discard, fresh_folder, stored_at
 BINS = 256
 CHUNK = 32_768
 LOCAL_ROWS = 262_144
+BOOSTED_ROWS = 1_048_576
 BATCH_ROWS = 20_000_000
 LEVEL_BYTES = 64_000_000
 KEEP_ROUNDS = 10
@@ -889,8 +891,7 @@ def finish_boosted(bins: np.ndarray, g: np.ndarray, h: np.ndarray, features: np.
     Of two children only the smaller one is summed, the other is what is left of their parent.
     """
     rule, tree = Newton(p.penalty, p.least_child), Growing()
-    m = len(features)
-    columns = [c.astype(np.int64) for c in bins]
+    m, columns = len(features), list(bins)
 
     def sums(rows: np.ndarray, slot: np.ndarray, n: int) -> np.ndarray:
         out = np.empty((n, m, n_bins, 2))
@@ -1011,7 +1012,7 @@ def _all_rounds_of_one_chunk(p: Boosting, n_classes: int, n_features: int, n_bin
     return run
 
 
-def boost(df: DataFrame, p: Boosting, bins: int = BINS, chunk: int = CHUNK, local_rows: int = LOCAL_ROWS) -> TreeModel:
+def boost(df: DataFrame, p: Boosting, bins: int = BINS, chunk: int = CHUNK, local_rows: int = BOOSTED_ROWS) -> TreeModel:
     """Softmax boosting over (features, label): one tree a class and round, each level of a round one aggregate.
 
     Nodes of at most ``local_rows`` rows are finished in one task each, all of a round in one job. ``history`` of the model is

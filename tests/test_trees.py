@@ -226,3 +226,18 @@ def test_rows_of_a_level_are_sorted_in_linear_time(monkeypatch):
     part = trees.finish(bins, label, np.ones(3000), 3, trees.Forest(1, None, 2, 1), 0, rng)
     assert max(sizes) <= 2 and part["cover"][0] == 3000
     assert (part["value"].max(1)[part["feature"] < 0] == 1.0).mean() > 0.99
+
+
+def test_a_round_over_some_hundred_thousand_rows_is_one_job(spark, monkeypatch):
+    """Rounds come one after another: what a few tasks can finish is not summed level by level before."""
+    def levels(*args, **more):
+        raise AssertionError("a level was summed by a job of its own")
+
+    monkeypatch.setattr(trees, "spark_level", levels)
+    finished, calls = trees.spark_finish, []
+    monkeypatch.setattr(trees, "spark_finish", lambda *args, **more: calls.append(len(args[2])) or finished(*args, **more))
+    mixed = [(F.xxhash64("id", F.lit(i)) % 1000 / 1000.0 + F.when(F.col("id") % 3 == i, 1.0).otherwise(0.0)).alias(c) for i, c in enumerate(NAMES)]
+    rows = spark.range(300_000).select(*mixed, (F.col("id") % 3).cast("double").alias("label"))
+    df = rows.select(models.assembled_vector(NAMES).alias("features"), "label")
+    model = trees.boost(df, trees.Boosting(rounds=2, depth=3, rate=0.3, rows=0.8, columns=1.0, seed=1))
+    assert calls == [3, 3] and model.history[1] < model.history[0]
