@@ -125,6 +125,32 @@ def test_explanations_use_all_tasks(spark, small, forest):
     assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k], abs=1e-4) for k in want)
 
 
+def test_explanations_take_no_more_tasks_than_run_at_once(spark, small, forest):
+    """Every task reads the whole ensemble: a large number of shuffle partitions must not multiply that."""
+    lanes = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "100")
+    try:
+        rows = small.limit(10).select(F.array("a", "b", "c").alias("z"), F.lit(1).alias("predicted"))
+        assert explain.explain(rows, forest, n=3, names=NAMES).select("z").rdd.getNumPartitions() <= 8
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", lanes)
+
+
+def test_sums_of_four_bytes_show_what_exact_ones_do(forest):
+    """The largest features and their rounded values agree; a row that lies near to a next rounding is done in full."""
+    block = explain.Block(explain.leaves_of(forest, 0, forest.n_trees))
+    x = np.random.default_rng(12).normal(scale=3.0, size=(explain.EXACT_ROWS * 4, 3))
+    asked = np.arange(len(x)) % forest.n_classes
+    error, exact = explain.margin_of_error(forest), explain.contributions(x, block, asked)
+    got = explain._shown_contributions(x, [block], asked, 2, error)
+    assert np.abs(got - exact).max() < error and (got != exact).any()
+    for a, b in zip(got, exact):
+        first, second = (np.argsort(-np.abs(v), kind="stable")[:2] for v in (a, b))
+        assert first.tolist() == second.tolist() and [round(float(a[i]), 4) for i in first] == [round(float(b[i]), 4) for i in second]
+    edge = np.array([[0.30005, 0.1, 0.0], [0.30001, 0.1, 0.0], [0.30001, 0.300005, 0.0]])
+    assert explain.unsure(edge, 2, 1e-5).tolist() == [True, False, True]
+
+
 def test_leaves_that_add_nothing_to_a_class_are_left_out():
     """Work goes to the leaves of the asked class alone: poisoned leaves of another class do not reach the result."""
     rng = np.random.default_rng(9)
