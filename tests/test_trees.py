@@ -37,6 +37,43 @@ def test_boosting_is_the_same_in_one_task_by_levels_and_by_finished_nodes(rows):
         assert np.allclose(other.probabilities(x), whole.probabilities(x))
 
 
+def test_boosting_keeps_its_rows_in_tasks_that_run_together(rows, monkeypatch):
+    """A table of many chunks takes no job a level or round, and gives the trees that one task grows."""
+    df, _, _ = rows
+    p = trees.Boosting(rounds=12, depth=4, rate=0.3, rows=0.8, columns=0.75, seed=1)
+
+    def refuse(*_):
+        raise AssertionError("a job for a level")
+
+    monkeypatch.setattr(trees, "spark_level", refuse)
+    monkeypatch.setattr(trees, "spark_finish", refuse)
+    x = np.random.default_rng(0).normal(size=(200, 4))
+    for part in (df, df.coalesce(1)):
+        whole, together = trees.boost(part, p), trees.boost(part, p, chunk=50)
+        assert np.allclose(together.history, whole.history) and np.allclose(together.probabilities(x), whole.probabilities(x))
+        assert together.history[0] == pytest.approx(np.log(3)) and together.n_trees == 36
+
+
+def test_boosting_falls_back_to_jobs_when_tasks_cannot_hold_the_rows(rows, monkeypatch):
+    df, _, _ = rows
+    p = trees.Boosting(rounds=3, depth=3, rate=0.3, rows=0.8, columns=0.75, seed=1)
+    whole = trees.boost(df, p)
+    monkeypatch.setattr(trees, "HELD_BYTES", 1)
+    monkeypatch.setattr(trees, "_boosted_together", None)
+    assert np.allclose(trees.boost(df, p, chunk=50).history, whole.history)
+
+
+def test_chunks_are_dealt_evenly_when_all_rows_are_equal(spark):
+    """Chunks that a hash of their rows does not tell apart must not meet in one task."""
+    df = frame(spark, np.ones((800, 4)), np.arange(800) % 2)
+    data = trees.bin_rows(df, chunk=50)
+    dealt = trees._dealt(data.table(spark), 4)
+    counts = [sum(r.n for r in part) for part in dealt.rdd.glom().collect()]
+    assert len(counts) == 4 and sum(counts) == 800 and max(counts) <= 250
+    model = trees.boost(df, trees.Boosting(rounds=3, depth=3, rate=0.3, rows=1.0, columns=1.0, seed=1), chunk=50)
+    assert (model.feature < 0).all() and np.allclose(model.probabilities(np.ones((1, 4))), 0.5)
+
+
 def test_every_round_lowers_the_loss(rows):
     df, _, _ = rows
     history = trees.boost(df, trees.Boosting(rounds=40, depth=3, rate=0.1, rows=1.0, columns=1.0, seed=1)).history
