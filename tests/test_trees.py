@@ -139,6 +139,18 @@ def test_finished_subtree_against_plain_search():
             assert len(set(label[mine])) == 1 or len(np.unique(bins[mine], axis=0)) == 1
 
 
+def test_trees_are_grown_whole_without_a_shuffle_of_rows(rows, monkeypatch):
+    """A task reads the rows once and grows its trees: the same ones as from rows that were dealt for every tree."""
+    df, _, _ = rows
+    p = trees.Forest(7, None, 2, 7)
+    dealt = trees.grow_forest(df, p, chunk=60, local_rows=10_000)
+    monkeypatch.setattr(trees, "_deal", None)
+    whole = trees.grow_forest(df, p, chunk=60)
+    assert whole.n_trees == 7 and whole.sizes == dealt.sizes
+    for name in trees.ARRAYS:
+        assert np.array_equal(getattr(whole, name), getattr(dealt, name))
+
+
 def test_limits_of_a_forest(rows):
     df, _, _ = rows
     free = trees.grow_forest(df, trees.Forest(10, None, 2, 7))
