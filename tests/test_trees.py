@@ -56,7 +56,7 @@ def test_boosting_keeps_its_rows_in_tasks_that_run_together(rows, monkeypatch):
 
 def test_boosting_falls_back_to_jobs_when_tasks_cannot_hold_the_rows(rows, monkeypatch):
     df, _, _ = rows
-    p = trees.Boosting(rounds=3, depth=3, rate=0.3, rows=0.8, columns=0.75, seed=1)
+    p = trees.Boosting(rounds=10, depth=3, rate=0.3, rows=0.8, columns=0.75, seed=1)
     whole = trees.boost(df, p)
     monkeypatch.setattr(trees, "HELD_BYTES", 1)
     monkeypatch.setattr(trees, "_boosted_together", None)
@@ -70,7 +70,7 @@ def test_chunks_are_dealt_evenly_when_all_rows_are_equal(spark):
     dealt = trees._dealt(data.table(spark), 4)
     counts = [sum(r.n for r in part) for part in dealt.rdd.glom().collect()]
     assert len(counts) == 4 and sum(counts) == 800 and max(counts) <= 250
-    model = trees.boost(df, trees.Boosting(rounds=3, depth=3, rate=0.3, rows=1.0, columns=1.0, seed=1), chunk=50)
+    model = trees.boost(df, trees.Boosting(rounds=10, depth=3, rate=0.3, rows=1.0, columns=1.0, seed=1), chunk=50)
     assert (model.feature < 0).all() and np.allclose(model.probabilities(np.ones((1, 4))), 0.5)
 
 
